@@ -49,3 +49,14 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unused path below the shared folder."""
     return f"{shared_root(spark).rstrip('/')}/hourloom/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df, name: str = "stored"):
+    """Write a frame to the shared folder and read it back.
+
+    Cuts the lineage where several branches read one costly result. The table
+    outlives lost executors and its scans are pruned to the columns in use.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
