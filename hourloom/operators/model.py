@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import Bucketizer, QuantileDiscretizer
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-SCORE_BUCKETS = 256
-
+from hourloom.session import stored
 
-def with_vector(df: DataFrame, features: str) -> DataFrame:
-    return df.withColumn(features, array_to_vector(F.col(features)))
+SCORE_BUCKETS = 256
 
 
 def rf_train_score(
@@ -33,13 +31,11 @@ def rf_train_score(
     forest = RandomForestClassifier(
         labelCol=label, featuresCol="_vector", numTrees=trees, maxDepth=depth, seed=seed
     )
-    model = forest.fit(train.select(label, F.col(features).alias("_vector")).transform(with_vector, "_vector"))
+    model = forest.fit(train.select(label, array_to_vector(F.col(features)).alias("_vector")))
     return model, score(model, test, features)
 
 
 def score(model: RandomForestClassificationModel, df: DataFrame, features: str = "features") -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
     scored = model.transform(df.withColumn("_vector", array_to_vector(F.col(features))))
     return scored.withColumn("probability", vector_to_array("probability")[1]).drop("_vector", "rawPrediction")
 
@@ -47,11 +43,11 @@ def score(model: RandomForestClassificationModel, df: DataFrame, features: str =
 def _cumulative(df: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score: positives and negatives at it, above it, and in total.
 
-    Rows are counted per score first. Scores are then cut into buckets by quantile
-    (one action), summed per bucket and accumulated inside each bucket, so no task
-    has to walk through all scores.
+    Rows are counted per score first and the counts stored (an action), so the input
+    is read once. Scores are then cut into buckets by quantile, summed per bucket and
+    accumulated inside each bucket: no task has to walk through all scores.
     """
-    points = (
+    counted = (
         df.where(F.col(score).isNotNull())
         .groupBy(F.col(score).cast("double").alias("_score"))
         .agg(
@@ -59,6 +55,7 @@ def _cumulative(df: DataFrame, score: str, label: str) -> DataFrame:
             F.count(F.when(F.col(label) != 1, 1)).alias("neg"),
         )
     )
+    points = stored(counted, "scores")
     cutter: Bucketizer = QuantileDiscretizer(
         numBuckets=SCORE_BUCKETS, inputCol="_score", outputCol="_bucket", handleInvalid="keep"
     ).fit(points)

@@ -36,7 +36,7 @@ def station_map(spark: SparkSession, path: str) -> DataFrame:
 def file_key(pattern: str, path: Column | None = None) -> Column:
     """First group of ``pattern`` in the path of the file a row was read from."""
     source = path if path is not None else F.col("_metadata.file_path")
-    return F.regexp_extract(F.url_decode(source), pattern, 1)
+    return F.regexp_extract(source, pattern, 1)
 
 
 def file_key_semi_join(df: DataFrame, keys: DataFrame, key_col: str, pattern: str) -> DataFrame:
