@@ -13,7 +13,7 @@ from hourloom.functions.casts import as_column, lenient_double
 def offset_to_zone(hours: Column | str) -> Column:
     """Whole-hour offset to a fixed zone id: -6 gives ``UTC-06:00``, 0 gives ``UTC``."""
     h = as_column(hours)
-    return F.when(h == 0, F.lit("UTC")).otherwise(F.format_string("UTC%+03d:00", h))
+    return F.when(h == 0, F.lit("UTC")).when(h.isNotNull(), F.format_string("UTC%+03d:00", h))
 
 
 def parse_local(text: Column | str, pattern: str | None = None) -> Column:
