@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -105,7 +106,6 @@ def archive_records(spark: SparkSession, path: str, columns: Sequence[str], suff
     headers = lines.where("line_no = 0").select("line").distinct().limit(2).collect()
     if len(headers) != 1:
         raise ValueError(f"expected one header over all members of {path}, found {len(headers)}")
-    names = spark.read.csv(spark.sparkContext.parallelize([headers[0]["line"]]), header=True).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    record = F.from_csv("line", schema.simpleString()[len("struct<") : -1].replace(":", " "))
+    names = [n.replace("`", "``") for n in next(csv.reader([headers[0]["line"]]))]
+    record = F.from_csv("line", ", ".join(f"`{n}` STRING" for n in names))
     return lines.where("line_no > 0").select(record.alias("r")).select(*[F.col("r")[c].alias(c) for c in columns])

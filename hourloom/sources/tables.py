@@ -10,7 +10,11 @@ YEAR = "year"
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns in the declared order and type; a missing column or a lossy type is an error."""
+    """Columns in the declared order and type.
+
+    A missing column comes out null, an extra one is dropped, and a type without an
+    implicit cast (text to number) is an error.
+    """
     return df.to(schema)
 
 
