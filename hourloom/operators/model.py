@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import Bucketizer, QuantileDiscretizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -86,22 +86,30 @@ def _cumulative(df: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
+def _rate(hits: Column, total: str) -> Column:
+    return F.when(F.col(total) > 0, hits / F.col(total)).otherwise(0.0)
+
+
+def roc_and_auc(df: DataFrame, score: str, label: str) -> tuple[DataFrame, DataFrame]:
+    """The curve and the area below it, from one pass over ``df``."""
+    points = _cumulative(df, score, label)
+    curve = points.select(
+        _rate(F.col("neg_above") + F.col("neg"), "all_neg").alias("FPR"),
+        _rate(F.col("pos_above") + F.col("pos"), "all_pos").alias("TPR"),
+    )
+    ends = df.sparkSession.createDataFrame([(0.0, 0.0), (1.0, 1.0)], "FPR double, TPR double")
+    area = F.sum(F.col("neg") * (F.col("pos_above") + F.col("pos") / 2))
+    pairs = F.max(F.col("all_pos") * F.col("all_neg"))
+    return curve.unionByName(ends), points.agg(F.when(pairs > 0, area / pairs).alias("areaUnderROC"))
+
+
 def roc_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     """ROC points (FPR, TPR), one per distinct score, between (0, 0) and (1, 1).
 
     Label 1 is positive, any other label negative. The score may be a hard
     prediction (one inner point) or a probability.
     """
-
-    def rate(hits, total):
-        return F.when(F.col(total) > 0, hits / F.col(total)).otherwise(0.0)
-
-    curve = _cumulative(df, score, label).select(
-        rate(F.col("neg_above") + F.col("neg"), "all_neg").alias("FPR"),
-        rate(F.col("pos_above") + F.col("pos"), "all_pos").alias("TPR"),
-    )
-    ends = df.sparkSession.createDataFrame([(0.0, 0.0), (1.0, 1.0)], "FPR double, TPR double")
-    return curve.unionByName(ends)
+    return roc_and_auc(df, score, label)[0]
 
 
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -110,6 +118,4 @@ def auc(df: DataFrame, score: str, label: str) -> DataFrame:
     Each score adds its negatives times the positives above it plus half of those at
     it: the area of its trapezoid, so the points need not be sorted again.
     """
-    area = F.sum(F.col("neg") * (F.col("pos_above") + F.col("pos") / 2))
-    pairs = F.max(F.col("all_pos") * F.col("all_neg"))
-    return _cumulative(df, score, label).agg(F.when(pairs > 0, area / pairs).alias("areaUnderROC"))
+    return roc_and_auc(df, score, label)[1]

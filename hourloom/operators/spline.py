@@ -85,9 +85,16 @@ def evaluate(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _seconds(ts: pd.Series) -> np.ndarray:
+ORIGIN = pd.Timestamp("2000-01-01").value // 1000
+
+
+def _micros(ts: pd.Series) -> np.ndarray:
+    return ts.to_numpy().astype("datetime64[us]").astype(np.int64)
+
+
+def _seconds(micros: np.ndarray) -> np.ndarray:
     """Seconds since the first instant of 2000, exact for microseconds over centuries."""
-    return (ts - pd.Timestamp("2000-01-01")).dt.total_seconds().to_numpy()
+    return (np.asarray(micros, dtype=np.int64) - ORIGIN) / 1e6
 
 
 def _halo_knots(rows: DataFrame, keys: list[str], ts: str, cols: Sequence[str]) -> DataFrame:
@@ -95,28 +102,38 @@ def _halo_knots(rows: DataFrame, keys: list[str], ts: str, cols: Sequence[str])
 
     Every segment offers its first and last knots and asks for those around it, both
     by knot number; offers and requests meet in one grouping per number.
-    Columns: keys and segment as ``_g0`` .., ``_col`` (position in ``cols``), ``_x``, ``_y``.
+    Columns: keys and segment as ``_g0`` .., ``_col`` (position in ``cols``), ``_x``
+    (microseconds), ``_y``.
     """
-    points = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(ts).alias("x"), F.col(c).alias("y"))) for c in cols}
-    lists = rows.groupBy(*keys, SEGMENT).agg(
-        *[F.array_sort(F.collect_list(p)).alias(c) for c, p in points.items()]
-    )
-    per_column = lists.select(
-        *keys,
-        SEGMENT,
-        F.inline(F.array(*[F.struct(F.lit(i).alias("_col"), F.col(c).alias("_all")) for i, c in enumerate(cols)])),
-    )
-    # Only the edges go on: this table is smaller than the series by the segment length.
-    edges = per_column.select(
-        *keys,
-        SEGMENT,
-        "_col",
-        F.size("_all").alias("_n"),
-        F.slice("_all", 1, HALO).alias("_head"),
-        F.when(F.size("_all") > HALO, F.slice("_all", F.greatest(F.lit(HALO), F.size("_all") - HALO) + 1, HALO))
-        .otherwise(F.slice("_all", 1, 0))
-        .alias("_tail"),
+    types = {f.name: f for f in rows.schema.fields}
+    schema = T.StructType(
+        [
+            *[types[k] for k in (*keys, SEGMENT)],
+            T.StructField("_col", T.IntegerType()),
+            T.StructField("_n", T.LongType()),
+            *[T.StructField(f"_{side}_x", T.ArrayType(T.LongType())) for side in ("head", "tail")],
+            *[T.StructField(f"_{side}_y", T.ArrayType(T.DoubleType())) for side in ("head", "tail")],
+        ]
     )
+
+    def edge_knots(core: pd.DataFrame) -> pd.DataFrame:
+        core = core.sort_values(ts, ignore_index=True)
+        micros = _micros(core[ts])
+        out = []
+        for i, col in enumerate(cols):
+            y = core[col].to_numpy(dtype=float)
+            own = ~np.isnan(y)
+            x, y = micros[own], y[own]
+            tail = max(HALO, len(x) - HALO)
+            out.append((i, len(x), x[:HALO], x[tail:], y[:HALO], y[tail:]))
+        names = schema.names[-6:]
+        result = pd.DataFrame({name: [row[j] for row in out] for j, name in enumerate(names)})
+        for k in (*keys, SEGMENT):
+            result[k] = core[k].iloc[0]
+        return result[schema.names]
+
+    # A small table from here on: the edges are fewer than the rows by the segment length.
+    edges = rows.select(*keys, SEGMENT, ts, *cols).groupBy(*keys, SEGMENT).applyInPandas(edge_knots, schema)
     series = [*keys, "_col"]
     placed = (
         running_offsets(edges, series, "_n", "_before")
@@ -125,8 +142,14 @@ def _halo_knots(rows: DataFrame, keys: list[str], ts: str, cols: Sequence[str])
         .withColumn("_end", F.col("_before") + F.col("_n"))
     )
 
-    def offer(first):
-        return lambda p, i: F.struct((first + i).alias("_knot"), p.alias("_point"), F.lit(None).cast("long").alias("_for"))
+    def offer(side, first):
+        points = F.arrays_zip(F.col(f"_{side}_x").alias("x"), F.col(f"_{side}_y").alias("y"))
+        return F.transform(
+            points,
+            lambda p, i: F.struct(
+                (first + i).alias("_knot"), p.alias("_point"), F.lit(None).cast("long").alias("_for")
+            ),
+        )
 
     def request(knot):
         return F.struct(knot.alias("_knot"), F.lit(None).alias("_point"), F.col(SEGMENT).alias("_for"))
@@ -139,8 +162,8 @@ def _halo_knots(rows: DataFrame, keys: list[str], ts: str, cols: Sequence[str])
         numbers(F.col("_end"), F.least(F.col("_end") + HALO, F.col("_total")) - 1),
     )
     messages = F.concat(
-        F.transform("_head", offer(F.col("_before"))),
-        F.transform("_tail", offer(F.col("_end") - F.size("_tail"))),
+        offer("head", F.col("_before")),
+        offer("tail", F.col("_end") - F.size("_tail_x")),
         F.transform(wanted, request),
     )
     met = (
@@ -176,7 +199,7 @@ def _knots_of(core: pd.DataFrame, halo: pd.DataFrame, i: int, col: str, x: np.nd
     y = core[col].to_numpy(dtype=float)
     own = ~np.isnan(y)
     side = halo[halo["_col"] == i]
-    kx = np.concatenate([x[own], _seconds(side["_x"])])
+    kx = np.concatenate([x[own], _seconds(side["_x"].to_numpy())])
     ky = np.concatenate([y[own], side["_y"].to_numpy(dtype=float)])
     mine = np.concatenate([np.ones(own.sum(), bool), np.zeros(len(side), bool)])
     order = np.argsort(kx, kind="stable")
@@ -206,7 +229,7 @@ def spline_fill(
     names = df.columns
 
     def fill(core: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
-        x = _seconds(core[ts])
+        x = _seconds(_micros(core[ts]))
         for i, col in enumerate(cols):
             kx, ky, _, y, own = _knots_of(core, side, i, col, x)
             gaps = ~own
@@ -251,7 +274,7 @@ def spline_coefficients(
 
     def coefficients(core: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
         core = core.sort_values(ts, ignore_index=True)
-        kx, ky, mine, _, _ = _knots_of(core, side, 0, col, _seconds(core[ts]))
+        kx, ky, mine, _, _ = _knots_of(core, side, 0, col, _seconds(_micros(core[ts])))
         if len(kx) < 2 or core.empty:
             return core.head(0).reindex(columns=out.names)
         b, c, d = polynomials(kx / unit_seconds, ky)

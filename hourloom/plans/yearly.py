@@ -23,12 +23,13 @@ from hourloom.operators.aggregates import hourly_mean, top1_per_group
 from hourloom.operators.frames import drop_any_null, prefix_columns, required_not_null
 from hourloom.operators.joins import bucket_join, suffix_key_join, two_role_dim_join
 from hourloom.operators.lags import lag_stack
-from hourloom.operators.model import auc, rf_train_score, roc_curve
+from hourloom.operators.model import rf_train_score, roc_and_auc
 from hourloom.operators.resample import resample
 from hourloom.operators.sampling import stratified_split, undersample
 from hourloom.operators.segments import HOUR
 from hourloom.operators.spline import spline_fill
-from hourloom.sources.raw import csv_scan, file_key_semi_join, station_map
+from hourloom.session import stored
+from hourloom.sources.raw import csv_scan, matching_files, station_map
 from hourloom.sources.tables import YEAR, read_year, write_year
 
 STATION, HOUR_COL = "WBAN_WEATHER", "DATE_TIME"
@@ -156,8 +157,8 @@ def run_year(
 
     stations = station_map(spark, paths.station_map)
     raw_flights = csv_scan(spark, paths.raw_dir(year, "flights"), S.FLIGHT_COLUMNS)
-    weather_files = spark.read.csv(paths.raw_dir(year, "weather"), header=True, enforceSchema=False)
-    raw_weather = file_key_semi_join(weather_files, stations, "WBAN", STATION_FILE).select(*S.READING_COLUMNS)
+    files = matching_files(spark, paths.raw_dir(year, "weather"), stations, "WBAN", STATION_FILE)
+    raw_weather = csv_scan(spark, files, S.READING_COLUMNS)
 
     flights = keep("flights", flight_hours(raw_flights, stations), S.FLIGHTS)
     hourly = keep("raw_weather", hourly_readings(raw_weather, stations), S.READINGS)
@@ -172,7 +173,7 @@ def run_year(
     both = keep("org_dest_delay", with_destination(org, tables["dest_vectorized_weather"]), S.BOTH_DELAY)
     delay = keep("delay", examples(both), S.EXAMPLES)
 
-    train, test = stratified_split(undersample(delay, "label", seed))
+    train, test = stratified_split(stored(undersample(delay, "label", seed), "balanced"))
     keep("train_delay", train, S.EXAMPLES)
     keep("test_delay", test, S.EXAMPLES)
 
@@ -188,8 +189,8 @@ def run_year(
     keep("train_roc", train_roc, S.ROC)
 
     score = "prediction" if hard_score else "probability"
-    area = auc(scored, score, "label").first()["areaUnderROC"]
-    test_roc = roc_curve(scored, score, "label").withColumn("areaUnderROC", F.lit(area).cast("double"))
+    curve, area = roc_and_auc(scored, score, "label")
+    test_roc = curve.withColumn("areaUnderROC", F.lit(area.first()["areaUnderROC"]).cast("double"))
     keep("test_roc", test_roc, S.ROC)
     return tables
 

@@ -48,6 +48,21 @@ def file_key_semi_join(df: DataFrame, keys: DataFrame, key_col: str, pattern: st
     return tagged.join(wanted, F.col("_file_key") == F.col("_key"), "left_semi").select(*columns)
 
 
+def matching_files(spark: SparkSession, path: str, keys: DataFrame, key_col: str, pattern: str) -> list[str]:
+    """Paths of the files below ``path`` whose key is one of ``keys`` (an action).
+
+    Only names travel to the driver, which lists the files of a scan anyway; files of
+    other keys are then never opened. ``file_key_semi_join`` drops their rows instead.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    tagged = listed.withColumn("_file_key", file_key(pattern, F.col("path")))
+    wanted = keys.select(F.col(key_col).alias("_key"))
+    found = tagged.join(wanted, F.col("_file_key") == F.col("_key"), "left_semi").select("path").collect()
+    if not found:
+        raise ValueError(f"no file below {path} belongs to a known key")
+    return sorted(r["path"] for r in found)
+
+
 ARCHIVE_LINES = T.StructType(
     [
         T.StructField("archive", T.StringType()),

@@ -44,6 +44,11 @@ def test_station_files(spark, tmp_path):
     keys = spark.createDataFrame([("03927",), ("3927",)], "WBAN string")
     text = spark.read.csv(str(tmp_path), header=True)
     assert ids(raw.file_key_semi_join(text, keys, "WBAN", STATION_FILE)) == ["1"]
+    files = raw.matching_files(spark, str(tmp_path), keys, "WBAN", STATION_FILE)
+    assert [f.rsplit("/", 1)[1] for f in files] == ["72259003927.csv"]
+    assert ids(raw.csv_scan(spark, files, ["id"])) == ["1"]
+    with pytest.raises(ValueError, match="no file"):
+        raw.matching_files(spark, str(tmp_path), keys.where("false"), "WBAN", STATION_FILE)
 
 
 def write_zip(path, members):
