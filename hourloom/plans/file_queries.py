@@ -98,7 +98,7 @@ def orders_by_year(spark, sf):
     """All years written, one of them again: the table is the same as after one write."""
     path = scratch_path(spark, "orders")
     orders = table(spark, sf, "orders")
-    tables.write_year(orders.withColumn("year", F.year("o_orderdate")), path, _ORDERS)
+    tables.write_years(orders.withColumn("year", F.year("o_orderdate")), path, _ORDERS)
     tables.write_year(orders.where(F.year("o_orderdate") == 1997), path, _ORDERS, 1997)
     return tables.read_year(spark, path, _ORDERS)
 

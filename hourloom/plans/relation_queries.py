@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 from hourloom.functions.times import arrival_hour, utc_hour
 from hourloom.operators import aggregates as A
 from hourloom.operators.frames import except_distinct, schema_merge_union
-from hourloom.operators.joins import bucket_join, suffix_key_join, two_role_dim_join, two_sided_bucket_join
+from hourloom.operators.joins import (
+    bucket_join,
+    right_join,
+    suffix_key_join,
+    two_role_dim_join,
+    two_sided_bucket_join,
+)
 from hourloom.plans.registry import events, plain, query, table
 
 
@@ -16,10 +22,10 @@ from hourloom.plans.registry import events, plain, query, table
     """SELECT c_custkey, o_orderkey FROM (SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000)
        RIGHT JOIN customer ON o_custkey = c_custkey"""
 )
-def right_join(spark, sf):
+def orders_of_customers(spark, sf):
     orders = table(spark, sf, "orders").where("o_orderstatus = 'F' AND o_totalprice > 300000")
     customer = table(spark, sf, "customer")
-    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "right").select("c_custkey", "o_orderkey")
+    return right_join(orders, customer, "o_custkey", "c_custkey").select("c_custkey", "o_orderkey")
 
 
 @query(

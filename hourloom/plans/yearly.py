@@ -68,12 +68,10 @@ def flight_hours(raw: DataFrame, stations: DataFrame, truncate_first: bool = Tru
     return top1_per_group(required_not_null(timed, keys[:2]), keys, order).drop("_cause")
 
 
-def hourly_readings(
-    raw: DataFrame, stations: DataFrame, trace_value: float | None = None, pad_key_to: int | None = None
-) -> DataFrame:
+def hourly_readings(raw: DataFrame, stations: DataFrame, trace_value: float | None = None) -> DataFrame:
     """Clean hourly means per station, in UTC."""
     side = stations.select("WBAN", "TimeZone").distinct()
-    placed = suffix_key_join(raw, "STATION", side, "WBAN", pad_key_to=pad_key_to)
+    placed = suffix_key_join(raw, "STATION", side, "WBAN")
     typed = clean_measurements(placed, station_rules(trace_value)).select(
         F.col("WBAN").alias(STATION),
         local_to_utc(parse_local("DATE"), "TimeZone").alias("DATE"),
@@ -142,11 +140,15 @@ def run_year(
     trees: int = 25,
     depth: int = 13,
     hard_score: bool = True,
+    trace_value: float | None = None,
+    pad_key_to: int | None = None,
+    truncate_first: bool = True,
 ) -> dict[str, DataFrame]:
     """Run all stages for one year and return its tables.
 
     Training uses the balanced examples of every year up to this one. The test curve
     is drawn from the hard prediction, or from the probability if ``hard_score`` is off.
+    The last three arguments repair what the defaults keep (see the README).
     """
     tables: dict[str, DataFrame] = {}
 
@@ -155,13 +157,13 @@ def run_year(
         tables[name] = read_year(spark, paths.table(name), schema, year, fmt)
         return tables[name]
 
-    stations = station_map(spark, paths.station_map)
+    stations = station_map(spark, paths.station_map, pad_key_to)
     raw_flights = csv_scan(spark, paths.raw_dir(year, "flights"), S.FLIGHT_COLUMNS)
     files = matching_files(spark, paths.raw_dir(year, "weather"), stations, "WBAN", STATION_FILE)
     raw_weather = csv_scan(spark, files, S.READING_COLUMNS)
 
-    flights = keep("flights", flight_hours(raw_flights, stations), S.FLIGHTS)
-    hourly = keep("raw_weather", hourly_readings(raw_weather, stations), S.READINGS)
+    flights = keep("flights", flight_hours(raw_flights, stations, truncate_first), S.FLIGHTS)
+    hourly = keep("raw_weather", hourly_readings(raw_weather, stations, trace_value), S.READINGS)
     regular = keep("weather", regular_readings(hourly), S.READINGS)
     filled = keep("interpolated_weather", filled_readings(regular), S.READINGS)
     # One stack serves both ends of a flight; the roles differ in column names only.

@@ -28,9 +28,15 @@ def csv_scan(spark: SparkSession, path: str | list[str], columns: Sequence[str])
     return spark.read.csv(path, header=True, enforceSchema=False).select(*columns)
 
 
-def station_map(spark: SparkSession, path: str) -> DataFrame:
-    """Airport, weather station and time zone; the file gives the zone as whole hours."""
+def station_map(spark: SparkSession, path: str, pad_key_to: int | None = None) -> DataFrame:
+    """Airport, weather station and time zone; the file gives the zone as whole hours.
+
+    Station ids that lost their leading zeros match no reading unless ``pad_key_to``
+    restores their length.
+    """
     raw = spark.read.schema(STATION_MAP_FILE).csv(path, header=True)
+    if pad_key_to:
+        raw = raw.withColumn("WBAN", F.lpad("WBAN", pad_key_to, "0"))
     return raw.withColumn("TimeZone", offset_to_zone(lenient_int("TimeZone")))
 
 

@@ -32,16 +32,15 @@ def append_table(df: DataFrame, path: str, schema: T.StructType, fmt: str = "par
     enforce_schema(df, schema).write.format(fmt).mode("append").save(path)
 
 
-def write_year(
-    df: DataFrame, path: str, schema: T.StructType, year: int | None = None, fmt: str = "parquet"
-) -> None:
-    """Replace the years in ``df`` and leave the others: running it twice changes nothing.
+def write_year(df: DataFrame, path: str, schema: T.StructType, year: int, fmt: str = "parquet") -> None:
+    """Replace one year of a table, also by nothing: running it twice changes nothing."""
+    enforce_schema(df, schema).write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/{YEAR}={year}")
 
-    ``year`` tags the whole frame; without it the frame has its own column ``year``.
-    """
-    tagged = enforce_schema(df, schema).withColumn(YEAR, F.lit(year)) if year is not None else df
+
+def write_years(df: DataFrame, path: str, schema: T.StructType, fmt: str = "parquet") -> None:
+    """Replace the years that occur in the column ``year`` of ``df``, and leave the others."""
     (
-        enforce_schema(tagged, with_year(schema))
+        enforce_schema(df, with_year(schema))
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

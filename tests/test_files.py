@@ -36,6 +36,8 @@ def test_station_map(spark, tmp_path):
     path.write_text("AirportID,WBAN,TimeZone\n1,03927,-6\n2,3972,0\n")
     got = sorted(tuple(r) for r in raw.station_map(spark, str(path)).collect())
     assert got == [("1", "03927", "UTC-06:00"), ("2", "3972", "UTC")]
+    padded = raw.station_map(spark, str(path), pad_key_to=5)
+    assert sorted(r.WBAN for r in padded.collect()) == ["03927", "03972"]
 
 
 def test_station_files(spark, tmp_path):
@@ -106,6 +108,16 @@ def test_year_written_twice_stays(spark, tmp_path):
     assert next_year(done, spark, 2012, 2024) == 2014
     with pytest.raises(ValueError, match="already processed"):
         next_year(done, spark, 2012, 2013)
+    tables.write_year(frame(spark, ("x", 9)).where("false"), path, SCHEMA, 2012)
+    assert ids(tables.read_year(spark, path, SCHEMA)) == [3]
+
+
+def test_years_written_together(spark, tmp_path):
+    path = str(tmp_path / "t")
+    both = spark.createDataFrame([("a", 1, 2012), ("b", 2, 2013)], "name string, id long, year int")
+    tables.write_years(both, path, SCHEMA)
+    tables.write_years(both.where("year = 2013").withColumn("id", F.lit(7).cast("long")), path, SCHEMA)
+    assert sorted((r.id, r.year) for r in tables.read_year(spark, path, SCHEMA).collect()) == [(1, 2012), (7, 2013)]
 
 
 def test_schema_is_enforced(spark):

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourloom.operators import aggregates as A
-from hourloom.operators.frames import expand_rows, schema_merge_union
-from hourloom.operators.joins import bucket_join, suffix_key_join, two_role_dim_join
+from hourloom.operators.frames import except_distinct, expand_rows, schema_merge_union
+from hourloom.operators.joins import bucket_join, right_join, suffix_key_join, two_role_dim_join
 
 
 def at(hour, minute=0, day=1):
@@ -116,6 +116,19 @@ def test_busy_bucket_is_split(spark):
             spark.conf.set(k, v)
 
 
+def test_right_join_keeps_the_right_side(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "a"), (3, "z"), (4, None)], "id int, k string")
+    right = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "code string, n int")
+    got = rows(right_join(left, right, "k", "code"))
+    assert got == rows(left.join(right, F.col("k") == F.col("code"), "right")) and len(got) == 6
+
+
+def test_except_is_distinct_and_pairs_nulls(spark):
+    left = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), ("c", 3), (None, None)], "s string, i int")
+    right = spark.createDataFrame([("c", 3), ("c", 3), (None, 2)], "x string, y int")
+    assert rows(except_distinct(left, right)) == rows(left.subtract(right)) == [("a", 1), (None, None)]
+
+
 def test_union_fills_missing_columns(spark):
     a = spark.createDataFrame([(1, "x")], "i int, s string")
     b = spark.createDataFrame([(2,)], "i int")
