@@ -33,7 +33,8 @@ def clean_value(c: Column | str, rule: ColumnRule) -> Column:
     raw = as_column(c).cast("string")
     text = F.when(raw.isin(*rule.null_tokens), None).otherwise(raw) if rule.null_tokens else raw
     if rule.strip_flags:
-        text = F.regexp_replace(text, f"[{rule.strip_flags}]$", "")
+        flagged = F.right(text, F.lit(1)).isin(*rule.strip_flags)
+        text = F.when(flagged, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
     value = lenient_double(text)
     if rule.trace_token is not None:
         value = F.when(raw == rule.trace_token, F.lit(rule.trace_value).cast("double")).otherwise(value)

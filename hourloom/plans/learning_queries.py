@@ -8,6 +8,7 @@ from hourloom.operators.aggregates import class_counts
 from hourloom.operators.model import auc, rf_train_score, roc_curve
 from hourloom.operators.sampling import random_order, shuffle_key, stratified_split, undersample
 from hourloom.plans.registry import events, query, table
+from hourloom.session import stored
 
 
 def _labelled(spark, sf):
@@ -37,7 +38,8 @@ def balanced(spark, sf):
         FROM r, m WHERE place <= keep""",
 )
 def split(spark, sf):
-    train, test = stratified_split(undersample(_labelled(spark, sf), "label", id_cols=["event_id"]))
+    drawn = stored(undersample(_labelled(spark, sf), "label", id_cols=["event_id"]), "balanced")
+    train, test = stratified_split(drawn)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
@@ -84,6 +86,6 @@ def embedding_forest(spark, sf):
     vectors = table(spark, sf, "embeddings").select(
         "vec_id", F.when(F.col("label") >= 5, 1).otherwise(0).alias("label"), F.col("embedding").alias("features")
     )
-    train, test = stratified_split(undersample(vectors, "label", id_cols=["vec_id"]))
+    train, test = stratified_split(stored(undersample(vectors, "label", id_cols=["vec_id"]), "balanced"))
     _, scored = rf_train_score(train, test)
     return scored.select("vec_id", "label", "prediction", F.round("probability", 6).alias("probability"))

@@ -29,7 +29,7 @@ from hourloom.operators.sampling import stratified_split, undersample
 from hourloom.operators.segments import HOUR
 from hourloom.operators.spline import spline_fill
 from hourloom.session import stored
-from hourloom.sources.raw import csv_scan, matching_files, station_map
+from hourloom.sources.raw import archive_records, csv_scan, matching_files, station_map
 from hourloom.sources.tables import YEAR, read_year, write_year
 
 STATION, HOUR_COL = "WBAN_WEATHER", "DATE_TIME"
@@ -143,12 +143,14 @@ def run_year(
     trace_value: float | None = None,
     pad_key_to: int | None = None,
     truncate_first: bool = True,
+    archived: bool = False,
 ) -> dict[str, DataFrame]:
     """Run all stages for one year and return its tables.
 
     Training uses the balanced examples of every year up to this one. The test curve
     is drawn from the hard prediction, or from the probability if ``hard_score`` is off.
-    The last three arguments repair what the defaults keep (see the README).
+    ``trace_value``, ``pad_key_to`` and ``truncate_first`` repair what the defaults keep
+    (see the README). With ``archived`` the flights are zip archives of CSV files.
     """
     tables: dict[str, DataFrame] = {}
 
@@ -158,7 +160,8 @@ def run_year(
         return tables[name]
 
     stations = station_map(spark, paths.station_map, pad_key_to)
-    raw_flights = csv_scan(spark, paths.raw_dir(year, "flights"), S.FLIGHT_COLUMNS)
+    read_flights = archive_records if archived else csv_scan
+    raw_flights = read_flights(spark, paths.raw_dir(year, "flights"), S.FLIGHT_COLUMNS)
     files = matching_files(spark, paths.raw_dir(year, "weather"), stations, "WBAN", STATION_FILE)
     raw_weather = csv_scan(spark, files, S.READING_COLUMNS)
 

@@ -84,10 +84,11 @@ def archive_scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
-def archive_expand(archives: DataFrame, suffix: str = ".csv") -> DataFrame:
+def archive_expand(archives: DataFrame, suffix: str = ".csv", headers_only: bool = False) -> DataFrame:
     """Lines of the members whose name ends in ``suffix``, numbered from 0 per member.
 
     Members are unpacked as a stream inside the tasks and leave in bounded batches.
+    ``headers_only`` stops after the first line of each member.
     """
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -103,6 +104,8 @@ def archive_expand(archives: DataFrame, suffix: str = ".csv") -> DataFrame:
             start, lines = 0, []
             for line in io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="\n"):
                 lines.append(line.rstrip("\r\n"))
+                if headers_only:
+                    break
                 if len(lines) == LINES_PER_BATCH:
                     yield frame(path, member, start, lines)
                     start, lines = start + len(lines), []
@@ -123,10 +126,11 @@ def archive_records(spark: SparkSession, path: str, columns: Sequence[str], suff
     The header is looked up first (an action on the first line of each member); all
     members must share it.
     """
-    lines = archive_expand(archive_scan(spark, path), suffix)
-    headers = lines.where("line_no = 0").select("line").distinct().limit(2).collect()
+    archives = archive_scan(spark, path)
+    headers = archive_expand(archives, suffix, headers_only=True).select("line").distinct().limit(2).collect()
     if len(headers) != 1:
         raise ValueError(f"expected one header over all members of {path}, found {len(headers)}")
     names = [n.replace("`", "``") for n in next(csv.reader([headers[0]["line"]]))]
     record = F.from_csv("line", ", ".join(f"`{n}` STRING" for n in names))
-    return lines.where("line_no > 0").select(record.alias("r")).select(*[F.col("r")[c].alias(c) for c in columns])
+    lines = archive_expand(archives, suffix).where("line_no > 0")
+    return lines.select(record.alias("r")).select(*[F.col("r")[c].alias(c) for c in columns])

@@ -5,12 +5,14 @@ from datetime import datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from hourloom.operators import lags, resample
 from hourloom.operators.lags import lag_stack, with_lags
 from hourloom.operators.segments import HOUR, with_series_index
-from hourloom.operators.spline import evaluate, natural_slopes, spline_coefficients, spline_fill
+from hourloom.operators.spline import HALO, evaluate, natural_slopes, spline_coefficients, spline_fill
 
 START = datetime(2024, 1, 1)
 
@@ -98,6 +100,34 @@ def test_solver_matches_dense_solution():
         assert np.allclose(evaluate(x, y, x), y)
 
 
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.tuples(st.floats(1e-3, 1e4), st.floats(-1e3, 1e3)), min_size=3, max_size=60),
+    st.lists(st.floats(0, 1), max_size=5),
+)
+def test_solver_on_any_spacing(steps, places):
+    x = np.cumsum([h for h, _ in steps])
+    y = np.array([v for _, v in steps])
+    at = x[0] + np.array(places) * (x[-1] - x[0])
+    scale = 1 + np.abs(dense_spline(x, y, at)).max(initial=0) + np.abs(y).max()
+    assert np.allclose(evaluate(x, y, at), dense_spline(x, y, at), rtol=1e-8, atol=1e-8 * scale)
+    assert np.allclose(evaluate(x, y, x), y, rtol=1e-9, atol=1e-9 * scale)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 10_000), st.integers(150, 400), st.floats(1.0, 6.0))
+def test_halo_carries_the_whole_series(seed, n, spread):
+    """A window of knots with the halo on each side has the slopes of the whole series."""
+    rng = np.random.default_rng(seed)
+    x = np.cumsum(np.exp(rng.uniform(-spread, spread, n)))
+    y = rng.normal(size=n) * 100
+    whole = natural_slopes(x, y)
+    a, b = n // 2 - 5, n // 2 + 5
+    lo, hi = max(0, a - HALO), min(n, b + HALO)
+    part = natural_slopes(x[lo:hi], y[lo:hi])[a - lo : b - lo]
+    assert np.allclose(part, whole[a:b], rtol=1e-9, atol=1e-12 * np.abs(whole).max())
+
+
 def test_middle_slope():
     assert natural_slopes(np.array([0.0, 1, 3]), np.array([0.0, 1, 0]))[1] == pytest.approx(-0.75)
 

@@ -1,7 +1,9 @@
 """The yearly job on small raw files, against a plain Python computation."""
 
 import math
+import pathlib
 import random
+import zipfile
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -9,6 +11,7 @@ import pytest
 
 from hourloom import schemas as S
 from hourloom.plans.yearly import Paths, flight_hours, run_year
+from hourloom.sources.raw import archive_records, csv_scan, station_map
 from hourloom.sources.tables import read_year
 from tests.test_series import dense_spline
 
@@ -131,6 +134,19 @@ def test_flights(job):
     assert got == flights and len(got) == tables["flights"].count()
 
 
+def test_flights_from_archives(spark, job):
+    paths, _, flights, _ = job
+    folder = pathlib.Path(paths.raw_dir(YEAR, "flights"))
+    zips = folder.parent / "zips"
+    zips.mkdir(exist_ok=True)
+    for month in folder.glob("*.csv"):
+        with zipfile.ZipFile(zips / f"{month.stem}.zip", "w") as archive:
+            archive.write(month, month.name)
+    raw = archive_records(spark, f"{zips}/*.zip", S.FLIGHT_COLUMNS)
+    hours = flight_hours(raw, station_map(spark, paths.station_map)).collect()
+    assert {(r.FlightDate, r.ArrivalDate, r.ORIGIN_WBAN, r.DEST_WBAN): r.Delay for r in hours} == flights
+
+
 def test_hourly_weather(job):
     _, weather, _, tables = job
     rows = tables["raw_weather"].collect()
@@ -191,8 +207,6 @@ def test_running_a_year_again_changes_nothing(spark, job):
 
 def test_small_dimension_is_broadcast(spark, job):
     paths, *_ = job
-    from hourloom.sources.raw import csv_scan, station_map
-
     raw = csv_scan(spark, paths.raw_dir(YEAR, "flights"), S.FLIGHT_COLUMNS)
     plan = flight_hours(raw, station_map(spark, paths.station_map))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
