@@ -37,3 +37,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plain(ts: Column | str) -> Column:
     """A timestamp without time zone, the type of the tables."""
     return (F.col(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz")
+
+
+def cents() -> Column:
+    """The value of an event in whole hundredths.
+
+    Sums of whole numbers are exact, so a mean does not depend on the order of its rows
+    and both engines round the same number.
+    """
+    return F.round(F.col("value") * 100)

@@ -14,7 +14,7 @@ from hourloom.operators.joins import (
     two_role_dim_join,
     two_sided_bucket_join,
 )
-from hourloom.plans.registry import events, plain, query, table
+from hourloom.plans.registry import cents, events, plain, query, table
 
 
 @query(
@@ -72,13 +72,13 @@ def radians_mean(spark, sf):
 
 @query(
     "partition_mean",
-    """SELECT event_id, round(avg(value) OVER (PARTITION BY event_type, date_trunc('hour', ts)), 6) AS value_mean
-       FROM events"""
+    """SELECT event_id, round(avg(round(value * 100)) OVER (PARTITION BY event_type, date_trunc('hour', ts)), 4)
+              AS value_mean FROM events"""
 )
 def partition_mean(spark, sf):
-    hours = events(spark, sf).select("event_id", "event_type", utc_hour("ts").alias("hour"), "value")
+    hours = events(spark, sf).select("event_id", "event_type", utc_hour("ts").alias("hour"), cents().alias("value"))
     means = A.partition_mean(hours, ["event_type", "hour"], ["value"])
-    return means.select("event_id", F.round("value_mean", 6).alias("value_mean"))
+    return means.select("event_id", F.round("value_mean", 4).alias("value_mean"))
 
 
 @query(
@@ -95,14 +95,14 @@ def first_per_bucket(spark, sf):
 @query(
     "hourly_mean",
     """SELECT user_id, event_type, date_trunc('hour', ts)::TIMESTAMP AS hour,
-              round(avg(CASE WHEN event_id % 4 <> 0 THEN value END), 6) AS value
+              round(avg(CASE WHEN event_id % 4 <> 0 THEN round(value * 100) END), 4) AS value
        FROM events GROUP BY ALL"""
 )
 def hourly_means(spark, sf):
     """Missing readings do not count; an hour with missing readings only stays, without a mean."""
-    holes = events(spark, sf).withColumn("value", F.when(F.col("event_id") % 4 != 0, F.col("value")))
+    holes = events(spark, sf).withColumn("value", F.when(F.col("event_id") % 4 != 0, cents()))
     means = A.hourly_mean(holes, ["user_id", "event_type"], "ts", ["value"])
-    return means.withColumns({"hour": plain("hour"), "value": F.round("value", 6)})
+    return means.withColumns({"hour": plain("hour"), "value": F.round("value", 4)})
 
 
 _TOP = "l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_shipdate, l_quantity, l_discount, l_tax, l_linestatus"

@@ -12,7 +12,7 @@ from hourloom.operators.joins import bucket_join
 from hourloom.operators.lags import lag_stack, with_lags
 from hourloom.operators.segments import HOUR
 from hourloom.operators.spline import spline_coefficients, spline_fill
-from hourloom.plans.registry import events, plain, query
+from hourloom.plans.registry import cents, events, plain, query
 from hourloom.session import stored
 
 LAGS = 12
@@ -77,8 +77,9 @@ def user_resampled(spark, sf):
 
 
 def _type_hours(spark, sf):
-    """Hourly means per event type, stored: later steps read them, not the raw events."""
-    return stored(hourly_mean(events(spark, sf), "event_type", "ts", ["value"]), "hourly")
+    """Hourly means in hundredths per event type, stored: later steps read them, not the raw events."""
+    whole = events(spark, sf).withColumn("value", cents())
+    return stored(hourly_mean(whole, "event_type", "ts", ["value"]), "hourly")
 
 
 def _type_grid(spark, sf):
@@ -88,7 +89,8 @@ def _type_grid(spark, sf):
 # Natural cubic spline through the hourly means of each event type, solved forwards
 # over the knots and then backwards.
 _SPLINE = """
-    h AS MATERIALIZED (SELECT event_type AS k, date_trunc('hour', ts) AS hour, avg(value) AS y FROM events GROUP BY ALL),
+    h AS MATERIALIZED (SELECT event_type AS k, date_trunc('hour', ts) AS hour, avg(round(value * 100)) AS y
+                       FROM events GROUP BY ALL),
     p AS MATERIALIZED (
         SELECT k, hour, y, row_number() OVER s - 1 AS i, count(*) OVER (PARTITION BY k) AS n,
                epoch(hour - lag(hour) OVER s) / 3600.0 AS hp, epoch(lead(hour) OVER s - hour) / 3600.0 AS hn,
