@@ -14,37 +14,43 @@ from hourloom.operators.frames import Keys, drop_any_null, key_list
 from hourloom.operators.segments import HOUR, PIECE_ROWS, with_series_index
 
 
-def with_lags(
-    df: DataFrame, key: Keys, ts: str, cols: Sequence[str], n: int = 12, step_seconds: int | None = None
-) -> DataFrame:
-    """Add ``{col}_lag_1`` .. ``{col}_lag_n``, the values of the n rows before.
+def _in_pieces(df: DataFrame, keys: list[str], ts: str, n: int, step_seconds: int | None) -> DataFrame:
+    """Give each row its place in the series, and copy it to every piece that needs it.
 
-    With ``step_seconds`` the series is known to be a regular grid and a row's
-    place follows from its time; a lag that reaches over a hole is null. Without
-    it rows are numbered first, at the price of one more shuffle.
-
-    Series are cut into pieces of ``PIECE_ROWS`` places. The last ``n`` rows of a
-    piece are copied to the next one, so each piece finds all its lags by itself.
+    Series are cut into pieces of ``PIECE_ROWS`` places. The last ``n`` places of a
+    piece also belong to the next one, so each piece finds all its lags by itself.
+    Rows are at home where ``_piece = _home``.
     """
-    keys = key_list(key)
     if step_seconds:
         placed = df.withColumn("_place", F.floor(epoch_seconds(ts) / step_seconds))
     else:
         placed = with_series_index(df, keys, ts, "_place", PIECE_ROWS * HOUR)
     size = max(PIECE_ROWS, n)
-    home = F.floor(F.col("_place") / size)
-    wanted_next = F.pmod(F.col("_place"), F.lit(size)) >= size - n
-    copies = (
-        placed.withColumn("_home", home)
-        .withColumn("_piece", F.explode(F.when(wanted_next, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))))
-    )
+    needed_next = F.pmod("_place", F.lit(size)) >= size - n
+    pieces = F.when(needed_next, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))
+    return placed.withColumn("_home", F.floor(F.col("_place") / size)).withColumn("_piece", F.explode(pieces))
+
+
+def with_lags(
+    df: DataFrame, key: Keys, ts: str, cols: Sequence[str], n: int = 12, step_seconds: int | None = None
+) -> DataFrame:
+    """Add ``{col}_lag_1`` .. ``{col}_lag_n``, the values of the n rows before.
+
+    With ``step_seconds`` the series is known to be a regular grid and a row's place
+    follows from its time; a lag that reaches over a hole is null. Without it rows are
+    numbered first, at the price of one more shuffle.
+    """
+    keys = key_list(key)
     order = Window.partitionBy(*keys, "_piece").orderBy("_place")
     lags = {}
     for i in range(1, n + 1):
-        adjacent = F.col("_place") - F.lag("_place", i).over(order) == i
         for c in cols:
-            lags[f"{c}_lag_{i}"] = F.when(adjacent, F.lag(c, i).over(order))
-    return copies.withColumns(lags).where("_piece = _home").drop("_place", "_home", "_piece")
+            lags[f"{c}_lag_{i}"] = F.lag(c, i).over(order)
+            if step_seconds:
+                near = F.col("_place") - F.lag("_place", i).over(order) == i
+                lags[f"{c}_lag_{i}"] = F.when(near, lags[f"{c}_lag_{i}"])
+    lagged = _in_pieces(df, keys, ts, n, step_seconds).withColumns(lags)
+    return lagged.where("_piece = _home").drop("_place", "_home", "_piece")
 
 
 def lag_stack(
@@ -58,9 +64,15 @@ def lag_stack(
 ) -> DataFrame:
     """The feature array followed by those of the n rows before, newest first.
 
-    The first ``n`` rows of each series have no full history and are dropped.
+    Rows without a full history are dropped: the first ``n`` of each series, rows with
+    a missing array among the n before, and, with ``step_seconds``, rows with a hole there.
     """
     keys = key_list(key)
-    parts = [features, *[f"{features}_lag_{i}" for i in range(1, n + 1)]]
-    lagged = with_lags(df.select(*keys, ts, features), keys, ts, [features], n, step_seconds)
-    return drop_any_null(lagged, parts).select(*keys, ts, concat_features(*parts).alias(out))
+    order = Window.partitionBy(*keys, "_piece").orderBy("_place")
+    lags = {f"_lag_{i}": F.lag(features, i).over(order) for i in range(1, n + 1)}
+    oldest = F.lag("_place", n).over(order)
+    pieces = _in_pieces(df.select(*keys, ts, features), keys, ts, n, step_seconds)
+    # Places are unique, so n rows back being n places back leaves no hole between.
+    full = pieces.withColumns({**lags, "_oldest": oldest}).where("_piece = _home AND _place - _oldest = " + str(n))
+    parts = [features, *lags]
+    return drop_any_null(full, parts).select(*keys, ts, concat_features(*parts).alias(out))
