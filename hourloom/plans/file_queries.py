@@ -5,14 +5,15 @@ from __future__ import annotations
 import io
 import zipfile
 
+import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourloom.functions.casts import lenient_double, lenient_int
 from hourloom.plans.registry import query, table
+from hourloom.plans.yearly import pending_partitions as pending
 from hourloom.session import scratch_path
 from hourloom.sources import raw, tables
-from hourloom.plans.yearly import pending_partitions as pending
 
 _PART = ["p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"]
 
@@ -41,7 +42,8 @@ def parts_of_files(spark, sf):
     path = scratch_path(spark, "by-size")
     parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
     parts.repartition("p_size").write.partitionBy("p_size").csv(path, header=True)
-    wanted = table(spark, sf, "supplier").where("s_acctbal < 0").select(F.col("s_nationkey").cast("string").alias("size"))
+    owing = table(spark, sf, "supplier").where("s_acctbal < 0")
+    wanted = owing.select(F.col("s_nationkey").cast("string").alias("size"))
     text = spark.read.csv(path, header=True, enforceSchema=False)
     chosen = raw.file_key_semi_join(text, wanted, "size", r"/p_size=(\d+)/")
     return chosen.select(F.col("p_partkey").try_cast("long").alias("p_partkey"), "p_name")
@@ -60,8 +62,7 @@ def customer_archives(spark, sf):
             with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
                 archive.writestr("readme.html", "no data here\n")
                 archive.writestr("customer.csv", batch.to_csv(index=False))
-            batch = batch.head(1)[[]].assign(path=f"batch-{n}.zip", content=data.getvalue())
-            yield batch
+            yield pd.DataFrame({"path": [f"batch-{n}.zip"], "content": [data.getvalue()]})
 
     zipped = table(spark, sf, "customer").select(_CUSTOMER).mapInPandas(pack, "path string, content binary")
     lines = raw.archive_expand(zipped).where("line_no > 0")
@@ -81,7 +82,10 @@ _ORDERS = T.StructType(
 _ORDER_COLUMNS = ", ".join(_ORDERS.names)
 
 
-@query("enforce_schema", "SELECT c_custkey::DOUBLE AS c_custkey, c_nationkey::BIGINT AS c_nationkey, c_name FROM customer")
+@query(
+    "enforce_schema",
+    "SELECT c_custkey::DOUBLE AS c_custkey, c_nationkey::BIGINT AS c_nationkey, c_name FROM customer",
+)
 def wider_customer(spark, sf):
     wider = T.StructType(
         [

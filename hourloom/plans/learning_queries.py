@@ -73,7 +73,8 @@ def quality_curve(spark, sf):
 
 @query(
     "auc",
-    f"""WITH {_CURVE} SELECT round(sum(neg * (tp - pos / 2)) / (max(p) * max(n)), 8)::DOUBLE AS "areaUnderROC" FROM c""",
+    f"""WITH {_CURVE}
+        SELECT round(sum(neg * (tp - pos / 2)) / (max(p) * max(n)), 8)::DOUBLE AS "areaUnderROC" FROM c""",
 )
 def quality_area(spark, sf):
     area = auc(_scored(spark, sf), "n_chars", "quality")

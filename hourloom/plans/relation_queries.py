@@ -63,7 +63,11 @@ def suffix_join(spark, sf):
     return joined.select("c_custkey", "s_suppkey")
 
 
-@query("radians_mean", "SELECT event_type, date_trunc('hour', ts)::TIMESTAMP AS hour, round(avg(radians(value)), 6) AS direction FROM events GROUP BY ALL")
+@query(
+    "radians_mean",
+    """SELECT event_type, date_trunc('hour', ts)::TIMESTAMP AS hour, round(avg(radians(value)), 6) AS direction
+       FROM events GROUP BY ALL""",
+)
 def radians_mean(spark, sf):
     turned = events(spark, sf).withColumn("direction", F.radians("value"))
     means = A.hourly_mean(turned, "event_type", "ts", ["direction"])
@@ -105,24 +109,24 @@ def hourly_means(spark, sf):
     return means.withColumns({"hour": plain("hour"), "value": F.round("value", 4)})
 
 
-_TOP = "l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_shipdate, l_quantity, l_discount, l_tax, l_linestatus"
+_REST = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_linestatus"]
 
 
 @query(
     "top1_per_group",
     f"""SELECT l_suppkey, l_returnflag, l_orderkey, l_linenumber, l_extendedprice FROM lineitem
-        QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_returnflag ORDER BY {_TOP}) = 1"""
+        QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_returnflag ORDER BY l_extendedprice DESC, {", ".join(_REST)}) = 1"""
 )
 def top_per_group(spark, sf):
-    rest = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_linestatus"]
-    order = [F.desc("l_extendedprice"), *[F.asc(c) for c in rest]]
+    order = [F.desc("l_extendedprice"), *[F.asc(c) for c in _REST]]
     top = A.top1_per_group(table(spark, sf, "lineitem"), ["l_suppkey", "l_returnflag"], order)
     return top.select("l_suppkey", "l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice")
 
 
 @query("distinct_rows", "SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber, l_shipdate FROM lineitem")
 def distinct_rows(spark, sf):
-    return table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber", "l_shipdate").dropDuplicates()
+    columns = ["l_returnflag", "l_linestatus", "l_linenumber", "l_shipdate"]
+    return table(spark, sf, "lineitem").select(columns).dropDuplicates()
 
 
 @query(
@@ -245,4 +249,5 @@ def top_n(spark, sf):
 
 @query("global_sort", "SELECT o_custkey, o_orderdate, o_orderkey FROM orders ORDER BY ALL")
 def global_sort(spark, sf):
-    return table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey").orderBy("o_custkey", "o_orderdate", "o_orderkey")
+    columns = ["o_custkey", "o_orderdate", "o_orderkey"]
+    return table(spark, sf, "orders").select(columns).orderBy(columns)

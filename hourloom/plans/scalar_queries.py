@@ -168,7 +168,8 @@ _DELAYS = """SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate,
 
 @query(
     "eligible_filter",
-    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM ({_DELAYS.format(text="VARCHAR", source="lineitem")})
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate
+        FROM ({_DELAYS.format(text="VARCHAR", source="lineitem")})
         WHERE (coalesce(trunc(TRY_CAST(cause AS DOUBLE)) > 0, FALSE)
                OR ((other IS NULL OR trunc(TRY_CAST(other AS DOUBLE)) = 0)
                    AND (total IS NULL OR trunc(TRY_CAST(total AS DOUBLE)) = 0)))

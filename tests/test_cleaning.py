@@ -31,7 +31,8 @@ def clean(spark, column, items, **kwargs):
 def test_lenient_casts(spark):
     items = ["16.00", "-1.5", " 7 ", ".5", "1e2", "abc", "", None, "99999999999"]
     assert values(texts(spark, items), lenient_int("t")) == [16, -1, 7, 0, None, None, None, None, None]
-    assert values(texts(spark, items), lenient_double("t")) == [16.0, -1.5, 7.0, 0.5, 100.0, None, None, None, 99999999999.0]
+    numbers = [16.0, -1.5, 7.0, 0.5, 100.0, None, None, None, 99999999999.0]
+    assert values(texts(spark, items), lenient_double("t")) == numbers
 
 
 def test_temperature_rules(spark):

@@ -20,7 +20,12 @@ def rows(df):
 
 def test_hourly_mean(spark):
     frame = spark.createDataFrame(
-        [("a", at(0, 50), 3.0, "late"), ("a", at(0, 10), 1.0, "early"), ("a", at(0, 55), None, "last"), ("a", at(1, 5), None, "x")],
+        [
+            ("a", at(0, 50), 3.0, "late"),
+            ("a", at(0, 10), 1.0, "early"),
+            ("a", at(0, 55), None, "last"),
+            ("a", at(1, 5), None, "x"),
+        ],
         "k string, ts timestamp, v double, name string",
     )
     got = rows(A.hourly_mean(frame, "k", "ts", ["v"], ["name"]))
@@ -35,7 +40,8 @@ def test_partition_mean_keeps_null_keys(spark):
 
 
 def test_top1_puts_nulls_last(spark):
-    frame = spark.createDataFrame([("g", None, "a"), ("g", 0, "b"), ("g", 20, "c"), ("h", None, "d")], "k string, d int, n string")
+    data = [("g", None, "a"), ("g", 0, "b"), ("g", 20, "c"), ("h", None, "d")]
+    frame = spark.createDataFrame(data, "k string, d int, n string")
     got = A.top1_per_group(frame, "k", [F.desc_nulls_last("d"), F.asc("n")])
     assert rows(got.select("k", "n")) == [("g", "c"), ("h", "d")]
 
@@ -86,7 +92,8 @@ def test_suffix_key(spark):
 
 
 def test_bucket_join_drops_what_has_no_features(spark):
-    moves = spark.createDataFrame([(1, "s", at(1)), (2, "s", at(2)), (3, None, at(1))], "id int, place string, hour timestamp")
+    data = [(1, "s", at(1)), (2, "s", at(2)), (3, None, at(1))]
+    moves = spark.createDataFrame(data, "id int, place string, hour timestamp")
     features = spark.createDataFrame([("s", at(1), [1.0])], "place string, hour timestamp, f array<float>")
     assert rows(bucket_join(moves, features, {"place": "place", "hour": "hour"})) == [(1, [1.0])]
 
