@@ -1,4 +1,4 @@
-"""Natural cubic splines over series of any length.
+"""Natural cubic splines over series of any length and any number.
 
 A natural spline couples all knots of a series, but the coupling fades: in its
 diagonally dominant system each knot passes on at most half of a change, whatever
@@ -7,203 +7,210 @@ side is therefore within 2**-64 of the solution over the whole series, less than
 double can hold. Pieces are time slices; the halo is found by knot number, so it
 holds 64 knots also where a column is nearly empty.
 
-The input is read twice (edge knots, rows): pass a stored table rather than a long
-unstored plan.
+Pieces are not handed to Python one by one: a task streams its sorted rows in Arrow
+batches, and all pieces of a batch are solved as one system. Many short series cost
+no more than a few long ones.
+
+The input is read several times (counts, edge knots, rows): pass a stored table
+rather than a long unstored plan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from operator import or_
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from hourloom.operators.frames import Keys, key_list
-from hourloom.operators.segments import HOUR, PIECE_ROWS, SEGMENT, running_offsets, with_segment
+from hourloom.operators.frames import Keys, join_on_keys, key_list
+from hourloom.operators.segments import HOUR, PIECE_ROWS, SEGMENT, with_segment
 
 HALO = 64
+IS_HALO = "_halo"
 
 
-def natural_slopes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The quadratic coefficient at each knot (zero at both ends).
+def natural_slopes(x: np.ndarray, y: np.ndarray, piece: np.ndarray | None = None) -> np.ndarray:
+    """The quadratic coefficient at each knot; zero at both ends of each piece.
 
-    The tridiagonal system is solved by cyclic reduction on whole arrays: each
-    round links every knot to knots twice as far away, until the links are gone.
+    ``piece`` numbers the pieces that lie one after the other in ``x``. The tridiagonal
+    system is solved by cyclic reduction on whole arrays: each round links every knot
+    to knots twice as far away, until the links are gone.
     """
-    c = np.zeros(len(x))
-    if len(x) < 3:
-        return c
-    h = np.diff(x)
+    n = len(x)
+    if n < 3:
+        return np.zeros(n)
+    joined = np.ones(n - 1, bool) if piece is None else piece[1:] == piece[:-1]
+    h = np.where(joined, np.diff(x), 1.0)
     slope = np.diff(y) / h
-    lower, upper = h[:-1].copy(), h[1:].copy()
-    diag = 2.0 * (lower + upper)
-    rhs = 3.0 * np.diff(slope)
-    lower[0] = upper[-1] = 0.0
-    n, stride = len(rhs), 1
+    inner = np.zeros(n, bool)
+    inner[1:-1] = joined[:-1] & joined[1:]
+    lower, upper, diag, rhs = np.zeros(n), np.zeros(n), np.ones(n), np.zeros(n)
+    i = np.flatnonzero(inner)
+    diag[i] = 2.0 * (h[i - 1] + h[i])
+    rhs[i] = 3.0 * (slope[i] - slope[i - 1])
+    lower[i] = np.where(inner[i - 1], h[i - 1], 0.0)
+    upper[i] = np.where(inner[i + 1], h[i], 0.0)
+    stride = 1
     while stride < n and (np.any(lower) or np.any(upper)):
-        down = np.zeros(n)
-        up = np.zeros(n)
-        down[stride:] = -lower[stride:] / diag[:-stride]
-        up[:-stride] = -upper[:-stride] / diag[stride:]
-        new_diag, new_rhs = diag.copy(), rhs.copy()
-        new_lower, new_upper = np.zeros(n), np.zeros(n)
-        new_diag[stride:] += down[stride:] * upper[:-stride]
-        new_rhs[stride:] += down[stride:] * rhs[:-stride]
-        new_lower[stride:] = down[stride:] * lower[:-stride]
-        new_diag[:-stride] += up[:-stride] * lower[stride:]
-        new_rhs[:-stride] += up[:-stride] * rhs[stride:]
-        new_upper[:-stride] = up[:-stride] * upper[stride:]
-        lower, upper, diag, rhs = new_lower, new_upper, new_diag, new_rhs
+        down = -lower[stride:] / diag[:-stride]
+        up = -upper[:-stride] / diag[stride:]
+        next_lower, next_upper = np.zeros(n), np.zeros(n)
+        next_lower[stride:] = down * lower[:-stride]
+        next_upper[:-stride] = up * upper[stride:]
+        next_diag, next_rhs = diag.copy(), rhs.copy()
+        next_diag[stride:] += down * upper[:-stride]
+        next_rhs[stride:] += down * rhs[:-stride]
+        next_diag[:-stride] += up * lower[stride:]
+        next_rhs[:-stride] += up * rhs[stride:]
+        lower, upper, diag, rhs = next_lower, next_upper, next_diag, next_rhs
         stride *= 2
-    c[1:-1] = rhs / diag
-    return c
+    return rhs / diag
+
 
+def polynomials(x: np.ndarray, y: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Coefficients (b, c, d) of the cubic from each knot to the next one.
 
-def polynomials(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Coefficients (b, c, d) of the cubic that starts at each knot but the last."""
-    h = np.diff(x)
-    c = natural_slopes(x, y)
-    b = np.diff(y) / h - h * (c[1:] + 2.0 * c[:-1]) / 3.0
-    d = np.diff(c) / (3.0 * h)
-    return b, c[:-1], d
+    They have no meaning at the last knot of a piece.
+    """
+    c = natural_slopes(x, y, piece)
+    h = np.where(piece[1:] == piece[:-1], np.diff(x), 1.0)
+    b, d = np.zeros(len(x)), np.zeros(len(x))
+    b[:-1] = np.diff(y) / h - h * (c[1:] + 2.0 * c[:-1]) / 3.0
+    d[:-1] = np.diff(c) / (3.0 * h)
+    return b, c, d
 
 
-def evaluate(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Spline value at ``at``; NaN outside the knots or with fewer than two knots."""
-    out = np.full(len(at), np.nan)
-    if len(x) < 2:
-        return out
-    b, c, d = polynomials(x, y)
-    i = np.clip(np.searchsorted(x, at, side="right") - 1, 0, len(x) - 2)
-    t = at - x[i]
-    inside = (at >= x[0]) & (at <= x[-1])
-    out[inside] = (y[i] + t * (b[i] + t * (c[i] + t * d[i])))[inside]
+def fill_gaps(piece: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``y`` with its NaNs replaced; NaN stays outside the knots of a piece.
+
+    Rows are sorted by piece and x. Two knots make a line.
+    """
+    known = ~np.isnan(y)
+    if known.all() or not known.any():
+        return y
+    kp, kx, ky = piece[known], x[known], y[known]
+    b, c, d = polynomials(kx, ky, kp)
+    gaps = np.flatnonzero(~known)
+    at = np.cumsum(known)[gaps] - 1
+    following = np.minimum(at + 1, len(kx) - 1)
+    inside = (at >= 0) & (at + 1 < len(kx)) & (kp[at] == piece[gaps]) & (kp[following] == piece[gaps])
+    gaps, at = gaps[inside], at[inside]
+    t = x[gaps] - kx[at]
+    out = y.copy()
+    out[gaps] = ky[at] + t * (b[at] + t * (c[at] + t * d[at]))
     return out
 
 
-ORIGIN = pd.Timestamp("2000-01-01").value // 1000
+def _seconds(ts: pa.ChunkedArray) -> np.ndarray:
+    """Seconds since the first instant of 2000, exact for microseconds over centuries."""
+    micros = ts.cast(pa.timestamp("us")).cast(pa.int64()).to_numpy()
+    return (micros - 946684800000000) / 1e6
 
 
-def _micros(ts: pd.Series) -> np.ndarray:
-    return ts.to_numpy().astype("datetime64[us]").astype(np.int64)
+def _piece_numbers(rows: pa.Table, keys: Sequence[str]) -> np.ndarray:
+    """0, 1, ... for each run of rows with the same key and segment."""
+    new = np.zeros(rows.num_rows, bool)
+    for k in (*keys, SEGMENT):
+        codes = pc.dictionary_encode(rows[k].combine_chunks(), null_encoding="encode").indices.to_numpy()
+        new[1:] |= codes[1:] != codes[:-1]
+    return np.cumsum(new)
 
 
-def _seconds(micros: np.ndarray) -> np.ndarray:
-    """Seconds since the first instant of 2000, exact for microseconds over centuries."""
-    return (np.asarray(micros, dtype=np.int64) - ORIGIN) / 1e6
+def _by_whole_pieces(keys: Sequence[str], solve: Callable[[pa.Table, np.ndarray], pa.Table]):
+    """Run ``solve`` on runs of complete pieces; the last piece of a batch waits for its rest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if waiting is not None:
+                rows = pa.concat_tables([waiting, rows])
+            if not rows.num_rows:
+                continue
+            piece = _piece_numbers(rows, keys)
+            cut = int(np.searchsorted(piece, piece[-1]))
+            if cut:
+                yield from solve(rows.slice(0, cut), piece[:cut]).to_batches()
+            waiting = rows.slice(cut)
+        if waiting is not None and waiting.num_rows:
+            yield from solve(waiting, _piece_numbers(waiting, keys)).to_batches()
+
+    return run
 
 
 def _halo_knots(rows: DataFrame, keys: list[str], ts: str, cols: Sequence[str]) -> DataFrame:
     """For each segment and column the ``HALO`` knots before and after it.
 
     Every segment offers its first and last knots and asks for those around it, both
-    by knot number; offers and requests meet in one grouping per number.
-    Columns: keys and segment as ``_g0`` .., ``_col`` (position in ``cols``), ``_x``
-    (microseconds), ``_y``.
+    by knot number; offers and requests meet in one grouping per number. Series that
+    fit in one segment take no part. The result has the shape of ``rows``: one value
+    per row, other columns null.
     """
-    types = {f.name: f for f in rows.schema.fields}
-    schema = T.StructType(
-        [
-            *[types[k] for k in (*keys, SEGMENT)],
-            T.StructField("_col", T.IntegerType()),
-            T.StructField("_n", T.LongType()),
-            *[T.StructField(f"_{side}_x", T.ArrayType(T.LongType())) for side in ("head", "tail")],
-            *[T.StructField(f"_{side}_y", T.ArrayType(T.DoubleType())) for side in ("head", "tail")],
-        ]
-    )
+    ranks = range(len(cols))
+    counts = rows.groupBy(*keys, SEGMENT).agg(*[F.count(c).alias(f"_n{i}") for i, c in enumerate(cols)])
+    series = Window.partitionBy(*keys)
+    earlier = series.orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumns(
+        {f"_before{i}": F.coalesce(F.sum(f"_n{i}").over(earlier), F.lit(0)) for i in ranks}
+        | {f"_total{i}": F.sum(f"_n{i}").over(series) for i in ranks}
+    ).where(reduce(or_, [F.col(f"_total{i}") > F.col(f"_n{i}") for i in ranks]))
 
-    def edge_knots(core: pd.DataFrame) -> pd.DataFrame:
-        core = core.sort_values(ts, ignore_index=True)
-        micros = _micros(core[ts])
-        out = []
-        for i, col in enumerate(cols):
-            y = core[col].to_numpy(dtype=float)
-            own = ~np.isnan(y)
-            x, y = micros[own], y[own]
-            tail = max(HALO, len(x) - HALO)
-            out.append((i, len(x), x[:HALO], x[tail:], y[:HALO], y[tail:]))
-        names = schema.names[-6:]
-        result = pd.DataFrame({name: [row[j] for row in out] for j, name in enumerate(names)})
-        for k in (*keys, SEGMENT):
-            result[k] = core[k].iloc[0]
-        return result[schema.names]
-
-    # A small table from here on: the edges are fewer than the rows by the segment length.
-    edges = rows.select(*keys, SEGMENT, ts, *cols).groupBy(*keys, SEGMENT).applyInPandas(edge_knots, schema)
-    series = [*keys, "_col"]
-    placed = (
-        running_offsets(edges, series, "_n", "_before")
-        .withColumn("_total", F.sum("_n").over(Window.partitionBy(*series)))
-        .where("_total > _n")
-        .withColumn("_end", F.col("_before") + F.col("_n"))
-    )
+    def numbers(first, last):
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
 
-    def offer(side, first):
-        points = F.arrays_zip(F.col(f"_{side}_x").alias("x"), F.col(f"_{side}_y").alias("y"))
-        return F.transform(
-            points,
-            lambda p, i: F.struct(
-                (first + i).alias("_knot"), p.alias("_point"), F.lit(None).cast("long").alias("_for")
-            ),
+    def wanted(i):
+        before, end = F.col(f"_before{i}"), F.col(f"_before{i}") + F.col(f"_n{i}")
+        around = F.concat(
+            numbers(F.greatest(before - HALO, F.lit(0)), before - 1),
+            numbers(end, F.least(end + HALO, F.col(f"_total{i}")) - 1),
         )
+        return F.transform(around, lambda k: F.struct(F.lit(i).alias("_col"), k.alias("_knot")))
 
-    def request(knot):
-        return F.struct(knot.alias("_knot"), F.lit(None).alias("_point"), F.col(SEGMENT).alias("_for"))
+    requests = placed.select(*keys, F.col(SEGMENT).alias("_for"), F.inline(F.concat(*[wanted(i) for i in ranks])))
 
-    def numbers(first, last):
-        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
-
-    wanted = F.concat(
-        numbers(F.greatest(F.col("_before") - HALO, F.lit(0)), F.col("_before") - 1),
-        numbers(F.col("_end"), F.least(F.col("_end") + HALO, F.col("_total")) - 1),
+    inside = Window.partitionBy(*keys, SEGMENT).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = join_on_keys(rows.select(*keys, SEGMENT, ts, *cols), placed, [*keys, SEGMENT]).withColumns(
+        {f"_rank{i}": F.count(c).over(inside) for i, c in enumerate(cols)}
     )
-    messages = F.concat(
-        offer("head", F.col("_before")),
-        offer("tail", F.col("_end") - F.size("_tail_x")),
-        F.transform(wanted, request),
+
+    def offer(i, c):
+        rank, n = F.col(f"_rank{i}"), F.col(f"_n{i}")
+        at_edge = F.col(c).isNotNull() & ((rank <= HALO) | (rank > n - HALO)) & (F.col(f"_total{i}") > n)
+        knot = F.col(f"_before{i}") + rank - 1
+        return F.when(at_edge, F.struct(F.lit(i).alias("_col"), knot.alias("_knot"), F.col(c).alias("_y")))
+
+    offers = ranked.select(
+        *keys, F.col(ts).alias("_x"), F.inline(F.array_compact(F.array(*[offer(i, c) for i, c in enumerate(cols)])))
     )
+    point = F.struct("_x", "_y").alias("_point")
+    messages = offers.select(*keys, "_col", "_knot", point).unionByName(requests, allowMissingColumns=True)
     met = (
-        placed.select(*series, F.inline(messages))
-        .groupBy(*series, "_knot")
+        messages.groupBy(*keys, "_col", "_knot")
         .agg(F.collect_list("_point").alias("_points"), F.collect_list("_for").alias("_for"))
+        .select(*keys, "_col", F.explode("_for").alias(SEGMENT), F.col("_points")[0].alias("_point"))
     )
-    # Fresh key names: the cogroup must tell the two sides apart.
-    return met.select(
-        *[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)],
-        F.explode("_for").alias(f"_g{len(keys)}"),
-        "_col",
-        F.col("_points")[0]["x"].alias("_x"),
-        F.col("_points")[0]["y"].alias("_y"),
-    )
-
-
-def _solve(rows: DataFrame, halo: DataFrame, keys: list[str], fn, schema: T.StructType) -> DataFrame:
-    """Run ``fn(rows of a segment, its halo knots)`` for every segment."""
-    right = [f"_g{i}" for i in range(len(keys) + 1)]
-    return rows.groupBy(*keys, SEGMENT).cogroup(halo.groupBy(*right)).applyInPandas(fn, schema)
+    values = [F.when(F.col("_col") == i, F.col("_point._y")).alias(c) for i, c in enumerate(cols)]
+    return met.select(*keys, SEGMENT, F.col("_point._x").alias(ts), *values)
 
 
 def _prepared(df: DataFrame, keys: list[str], ts: str, cols: Sequence[str], segment_seconds: int) -> DataFrame:
-    """Doubles without NaN (a NaN is no measurement), cut into segments."""
+    """Rows and halo knots in one frame, each segment whole and in time order.
+
+    Values are doubles without NaN (a NaN is no measurement).
+    """
     numbers = {c: F.col(c).cast("double") for c in cols}
     clean = df.withColumns({c: F.when(~F.isnan(v), v) for c, v in numbers.items()})
-    return with_segment(clean, ts, segment_seconds)
-
-
-def _knots_of(core: pd.DataFrame, halo: pd.DataFrame, i: int, col: str, x: np.ndarray):
-    """Knots of one column, own and halo, in time order; and which of them are own."""
-    y = core[col].to_numpy(dtype=float)
-    own = ~np.isnan(y)
-    side = halo[halo["_col"] == i]
-    kx = np.concatenate([x[own], _seconds(side["_x"].to_numpy())])
-    ky = np.concatenate([y[own], side["_y"].to_numpy(dtype=float)])
-    mine = np.concatenate([np.ones(own.sum(), bool), np.zeros(len(side), bool)])
-    order = np.argsort(kx, kind="stable")
-    return kx[order], ky[order], mine[order], y, own
+    rows = with_segment(clean, ts, segment_seconds)
+    halo = _halo_knots(rows, keys, ts, cols).withColumn(IS_HALO, F.lit(True))
+    both = rows.withColumn(IS_HALO, F.lit(False)).unionByName(halo, allowMissingColumns=True)
+    return both.repartition(*keys, SEGMENT).sortWithinPartitions(*keys, SEGMENT, ts)
 
 
 def spline_fill(
@@ -224,30 +231,31 @@ def spline_fill(
     if on_few_knots not in ("linear", "error"):
         raise ValueError("on_few_knots is 'linear' or 'error'")
     keys, cols = key_list(key), list(cols)
-    rows = _prepared(df, keys, ts, cols, segment_seconds)
-    halo = _halo_knots(rows, keys, ts, cols)
     names = df.columns
 
-    def fill(core: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
-        x = _seconds(_micros(core[ts]))
-        for i, col in enumerate(cols):
-            kx, ky, _, y, own = _knots_of(core, side, i, col, x)
-            gaps = ~own
-            if not gaps.any() or not len(kx):
+    def fill(rows: pa.Table, piece: np.ndarray) -> pa.Table:
+        x = _seconds(rows[ts])
+        core = ~rows[IS_HALO].to_numpy()
+        out = rows.select(names).filter(pa.array(core))
+        for col in cols:
+            y = rows[col].to_numpy()
+            knots = np.bincount(piece, ~np.isnan(y))[piece]
+            gaps = np.isnan(y) & core & (knots > 0)
+            if not gaps.any():
                 continue
-            if len(kx) < 3 and on_few_knots == "error":
-                raise ValueError(f"{col}: a spline needs three knots, found {len(kx)}")
-            y = y.copy()
-            y[gaps] = evaluate(kx, ky, x[gaps])
-            if np.isnan(y).any():
+            if on_few_knots == "error" and (knots[gaps] < 3).any():
+                raise ValueError(f"{col}: a spline needs three knots, found {int(knots[gaps].min())}")
+            y = fill_gaps(piece, x, y)
+            if np.isnan(y[gaps]).any():
                 raise ValueError(f"{col}: a gap lies outside the known points")
-            core[col] = y
-        return core[names]
+            out = out.set_column(names.index(col), col, pa.array(y[core], from_pandas=True))
+        return out
 
     filled = T.StructType(
         [T.StructField(f.name, T.DoubleType()) if f.name in cols else f for f in df.schema.fields]
     )
-    return _solve(rows, halo, keys, fill, filled)
+    prepared = _prepared(df, keys, ts, cols, segment_seconds)
+    return prepared.mapInArrow(_by_whole_pieces(keys, fill), filled)
 
 
 def spline_coefficients(
@@ -264,24 +272,20 @@ def spline_coefficients(
     t in units of ``unit_seconds`` since that knot.
     """
     keys = key_list(key)
-    known = df.where(F.col(col).isNotNull()).select(*keys, ts, col)
-    rows = _prepared(known, keys, ts, [col], segment_seconds).where(F.col(col).isNotNull())
-    halo = _halo_knots(rows, keys, ts, [col])
     types = {f.name: f for f in df.schema.fields}
-    out = T.StructType(
-        [*[types[k] for k in keys], types[ts], *[T.StructField(p, T.DoubleType()) for p in "abcd"]]
-    )
-
-    def coefficients(core: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
-        core = core.sort_values(ts, ignore_index=True)
-        kx, ky, mine, _, _ = _knots_of(core, side, 0, col, _seconds(_micros(core[ts])))
-        if len(kx) < 2 or core.empty:
-            return core.head(0).reindex(columns=out.names)
-        b, c, d = polynomials(kx / unit_seconds, ky)
-        keep = mine[:-1]
-        result = core.iloc[: keep.sum()][[*keys, ts]].copy()
-        for name, values in zip("abcd", (ky[:-1], b, c, d)):
-            result[name] = values[keep]
+    parts = [T.StructField(p, T.DoubleType()) for p in "abcd"]
+    out = T.StructType([*[types[k] for k in keys], types[ts], *parts])
+
+    def coefficients(rows: pa.Table, piece: np.ndarray) -> pa.Table:
+        y = rows[col].to_numpy()
+        b, c, d = polynomials(_seconds(rows[ts]) / unit_seconds, y, piece)
+        followed = np.append(piece[1:] == piece[:-1], False)
+        keep = followed & ~rows[IS_HALO].to_numpy()
+        result = rows.select([*keys, ts]).filter(pa.array(keep))
+        for name, values in zip("abcd", (y, b, c, d)):
+            result = result.append_column(name, pa.array(values[keep]))
         return result
 
-    return _solve(rows, halo, keys, coefficients, out)
+    knots = df.select(*keys, ts, col).where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
+    prepared = _prepared(knots, keys, ts, [col], segment_seconds)
+    return prepared.mapInArrow(_by_whole_pieces(keys, coefficients), out)

@@ -7,14 +7,14 @@ import pytest
 from pyspark import cloudpickle
 
 from hourloom import session
-from hourloom.operators.spline import evaluate
+from hourloom.operators.spline import fill_gaps
 
 
 def test_worker_functions_carry_their_code(tmp_path):
-    (tmp_path / "fn").write_bytes(cloudpickle.dumps(evaluate))
+    (tmp_path / "fn").write_bytes(cloudpickle.dumps(fill_gaps))
     code = (
         "import pickle, numpy as np, pyspark; f = pickle.load(open('fn', 'rb'));"
-        "print(f(np.array([0., 1, 3]), np.array([0., 1, 0]), np.array([2.]))[0])"
+        "print(f(np.zeros(4, int), np.array([0., 1, 2, 3]), np.array([0., 1, np.nan, 0]))[2])"
     )
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert float(out.stdout) == pytest.approx(0.875), out.stderr
