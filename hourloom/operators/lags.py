@@ -14,7 +14,9 @@ from hourloom.operators.frames import Keys, drop_any_null, key_list
 from hourloom.operators.segments import HOUR, PIECE_ROWS, with_series_index
 
 
-def _in_pieces(df: DataFrame, keys: list[str], ts: str, n: int, step_seconds: int | None) -> DataFrame:
+def _in_pieces(
+    df: DataFrame, keys: list[str], ts: str, n: int, step_seconds: int | None, segment_seconds: int
+) -> DataFrame:
     """Give each row its place in the series, and copy it to every piece that needs it.
 
     Series are cut into pieces of ``PIECE_ROWS`` places. The last ``n`` places of a
@@ -24,7 +26,7 @@ def _in_pieces(df: DataFrame, keys: list[str], ts: str, n: int, step_seconds: in
     if step_seconds:
         placed = df.withColumn("_place", F.floor(epoch_seconds(ts) / step_seconds))
     else:
-        placed = with_series_index(df, keys, ts, "_place", PIECE_ROWS * HOUR)
+        placed = with_series_index(df, keys, ts, "_place", segment_seconds)
     size = max(PIECE_ROWS, n)
     needed_next = F.pmod("_place", F.lit(size)) >= size - n
     pieces = F.when(needed_next, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))
@@ -32,13 +34,20 @@ def _in_pieces(df: DataFrame, keys: list[str], ts: str, n: int, step_seconds: in
 
 
 def with_lags(
-    df: DataFrame, key: Keys, ts: str, cols: Sequence[str], n: int = 12, step_seconds: int | None = None
+    df: DataFrame,
+    key: Keys,
+    ts: str,
+    cols: Sequence[str],
+    n: int = 12,
+    step_seconds: int | None = None,
+    segment_seconds: int = PIECE_ROWS * HOUR,
 ) -> DataFrame:
     """Add ``{col}_lag_1`` .. ``{col}_lag_n``, the values of the n rows before.
 
     With ``step_seconds`` the series is known to be a regular grid and a row's place
     follows from its time; a lag that reaches over a hole is null. Without it rows are
-    numbered first, at the price of one more shuffle.
+    numbered first, at the price of one more shuffle, slice by slice of
+    ``segment_seconds``: make it shorter for series denser than one row an hour.
     """
     keys = key_list(key)
     order = Window.partitionBy(*keys, "_piece").orderBy("_place")
@@ -49,7 +58,7 @@ def with_lags(
             if step_seconds:
                 near = F.col("_place") - F.lag("_place", i).over(order) == i
                 lags[f"{c}_lag_{i}"] = F.when(near, lags[f"{c}_lag_{i}"])
-    lagged = _in_pieces(df, keys, ts, n, step_seconds).withColumns(lags)
+    lagged = _in_pieces(df, keys, ts, n, step_seconds, segment_seconds).withColumns(lags)
     return lagged.where("_piece = _home").drop("_place", "_home", "_piece")
 
 
@@ -61,6 +70,7 @@ def lag_stack(
     n: int = 12,
     out: str = "features",
     step_seconds: int | None = None,
+    segment_seconds: int = PIECE_ROWS * HOUR,
 ) -> DataFrame:
     """The feature array followed by those of the n rows before, newest first.
 
@@ -71,7 +81,7 @@ def lag_stack(
     order = Window.partitionBy(*keys, "_piece").orderBy("_place")
     lags = {f"_lag_{i}": F.lag(features, i).over(order) for i in range(1, n + 1)}
     oldest = F.lag("_place", n).over(order)
-    pieces = _in_pieces(df.select(*keys, ts, features), keys, ts, n, step_seconds)
+    pieces = _in_pieces(df.select(*keys, ts, features), keys, ts, n, step_seconds, segment_seconds)
     # Places are unique, so n rows back being n places back leaves no hole between.
     full = pieces.withColumns({**lags, "_oldest": oldest}).where("_piece = _home AND _place - _oldest = " + str(n))
     parts = [features, *lags]

@@ -286,7 +286,7 @@ def test_stack_of_thirteen_rows(spark, step):
 def test_lags_cross_pieces(spark, monkeypatch, step):
     monkeypatch.setattr(lags, "PIECE_ROWS", 7)
     frame = featured(spark, 60).unionByName(featured(spark, 30, "b"))
-    got = stack(frame, 3, step_seconds=step)
+    got = stack(frame, 3, step_seconds=step, segment_seconds=5 * HOUR)
     want = [(k, hour(i), [float(i + 1 - j) for j in range(4)]) for k, n in (("a", 60), ("b", 30)) for i in range(3, n)]
     assert got == want
 
