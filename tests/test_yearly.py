@@ -209,6 +209,23 @@ def test_running_a_year_again_changes_nothing(spark, job):
     assert read_year(spark, paths.table("delay"), S.EXAMPLES).count() == before["delay"]
 
 
+def test_repairs(spark, job, tmp_path):
+    """The options of the job: padded ids, trace rain, exact arrival, probability curve."""
+    paths, weather, *_ = job
+    schemas = {"flights": S.FLIGHTS, "raw_weather": S.READINGS}
+    before = {n: read_year(spark, paths.table(n), schema, YEAR) for n, schema in schemas.items()}
+    other = Paths(paths.station_map, paths.raw, str(tmp_path / "tables"), str(tmp_path / "models"))
+    repaired = {"trace_value": 0.004, "pad_key_to": 5, "truncate_first": False, "hard_score": False}
+    tables = run_year(spark, YEAR, other, trees=3, depth=3, **repaired)
+    assert {r[0] for r in tables["flights"].select("ORIGIN_WBAN").distinct().collect()} == {*weather, "04444"}
+    rain = [r[0] for r in tables["raw_weather"].select("HourlyPrecipitation").collect()]
+    known = [r[0] for r in before["raw_weather"].select("HourlyPrecipitation").collect()]
+    assert sum(v is None for v in rain) < sum(v is None for v in known) and 0.004 in rain
+    later = {tuple(r) for r in tables["flights"].select("FlightDate", "ArrivalDate").collect()}
+    assert later - {tuple(r) for r in before["flights"].select("FlightDate", "ArrivalDate").collect()}
+    assert tables["test_roc"].distinct().count() > 3
+
+
 def test_small_dimension_is_broadcast(spark, job):
     paths, *_ = job
     raw = csv_scan(spark, paths.raw_dir(YEAR, "flights"), S.FLIGHT_COLUMNS)
