@@ -4,7 +4,8 @@
    and which one depends on the window's words only. A gram is recurring if two documents
    select it; its owner is the smallest of them.
 2. Documents meet at the owners of their recurring grams: all documents that hold a window
-   meet at one place, that of its selected gram. Large meetings are cut into chunks.
+   meet at one place, that of its selected gram. Only the words around the grams are sent
+   there. Large meetings are cut into chunks.
 3. In a meeting the windows that recur are confirmed. Of a meeting in one chunk that is done
    there; of one in several, the chunks' windows are counted together first.
 4. Each chunk compiles its recurring windows, word by word, to an Aho-Corasick automaton, and
@@ -28,12 +29,9 @@ from hourloom.llm.words import WordHashes, gram_hashes, hashed, split_words, win
 WINDOW = 13
 GRAM = 7
 CHUNK_BYTES = 6_000_000
-#: Most grams of meetings in several chunks that are sent to every executor.
-BROADCAST_GRAMS = 2_000_000
 #: Characters that words are numbered with.
 CHARACTERS = 1_100_000
-#: Bytes of spans that are sent to every executor; beyond them the join shuffles.
-BROADCAST_BYTES = 16 << 20
+SEGMENT = "meeting long, chunk long, chunks long, doc_id long, version long, start long, text string"
 
 
 def selected_grams(words: np.ndarray, window: int, gram: int) -> np.ndarray:
@@ -58,8 +56,45 @@ def gram_batches(window: int, gram: int):
     return run
 
 
+def segment_batches(window: int, gram: int):
+    """The words around a document's recurring grams, for each meeting, with where they start."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = WordHashes()
+        for ids, texts, versions, places in ids_and_texts(batches, "version", "places"):
+            rows = []
+            for doc_id, text, version, place in zip(ids, texts, versions, places):
+                words = split_words(text)
+                here = gram_hashes(hashed(words, memory), gram).view(np.int64)
+                by_meeting: dict[tuple, list[int]] = {}
+                for p in place:
+                    by_meeting.setdefault((p["meeting"], p["chunk"], p["chunks"]), []).append(p["gram"])
+                known = np.unique(np.array([p["gram"] for p in place], np.int64))
+                at = np.flatnonzero(np.isin(here, known))
+                for (meeting, chunk, chunks), grams in by_meeting.items():
+                    found = at[np.isin(here[at], np.array(grams, np.int64))]
+                    for lo, hi in runs(found - (window - gram), found + window, len(words)):
+                        rows.append((meeting, chunk, chunks, doc_id, version, lo, b" ".join(words[lo:hi])))
+            columns = list(zip(*rows)) or [[]] * 7
+            arrays = [pa.array(c, pa.int64()) for c in columns[:6]] + [pa.array(columns[6], pa.binary()).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in SEGMENT.split(", ")])
+
+    return run
+
+
+def runs(starts: np.ndarray, ends: np.ndarray, length: int) -> list[tuple[int, int]]:
+    """Ascending spans within 0..length, joined where they overlap."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in zip(np.maximum(starts, 0).tolist(), np.minimum(ends, length).tolist()):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], hi)
+        else:
+            out.append((lo, hi))
+    return out
+
+
 def local_windows(texts: list[bytes], ids: np.ndarray, window: int):
-    """Word hashes, and window hashes with the row they start in, of the rows of a chunk."""
+    """Word hashes, and window hashes with the document they are of, of the rows of a chunk."""
     memory = WordHashes()
     words = [hashed(split_words(t), memory) for t in texts]
     windows = [gram_hashes(w, window) for w in words]
@@ -77,33 +112,22 @@ def least_and_most(flat: np.ndarray, owners: np.ndarray):
     return values, low, high
 
 
-def chunk_windows(window: int, gram: int):
-    """Windows of one chunk that may recur in others: those whose selected gram met here."""
+def chunk_windows(window: int):
+    """Windows of one of several chunks of a meeting; of a meeting in one chunk none."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids = table.column("doc_id").to_numpy()
+        names = ("meeting", "window", "low", "high")
+        if table.column("chunks")[0].as_py() == 1:
+            return pa.table({n: pa.array([], pa.int64()) for n in names})
         texts = table.column("text").cast(pa.binary()).to_pylist()
-        met = table.column("grams").to_pylist()
-        memory, found, owners = WordHashes(), [], []
-        for doc_id, text, grams in zip(ids.tolist(), texts, met):
-            words = hashed(split_words(text), memory)
-            starts = windows_around(words, np.array(grams, np.int64).view(np.uint64), window, gram)
-            found.append(gram_hashes(words, window)[starts])
-            owners.append(np.full(len(starts), doc_id))
-        values, low, high = least_and_most(np.concatenate(found), np.concatenate(owners))
+        _, _, flat, owners = local_windows(texts, table.column("doc_id").to_numpy(), window)
+        values, low, high = least_and_most(flat, owners)
         meeting = np.full(len(values), table.column("meeting")[0].as_py())
-        return pa.table({"meeting": meeting, "window": values.view(np.int64), "low": low, "high": high})
+        return pa.table(dict(zip(names, (meeting, values.view(np.int64), low, high))))
 
     return run
 
 
-def windows_around(words: np.ndarray, grams: np.ndarray, window: int, gram: int) -> np.ndarray:
-    """Starts of the windows that hold one of ``grams``."""
-    at = np.flatnonzero(np.isin(gram_hashes(words, gram), grams))
-    starts = (at[:, None] - np.arange(window - gram + 1)[None, :]).ravel()
-    return np.unique(starts[(starts >= 0) & (starts <= len(words) - window)])
-
-
 def compiled(sequences: set[str]) -> ahocorasick.Automaton:
     """The automaton of word sequences, one character per word."""
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
@@ -148,18 +172,19 @@ def covered_spans(window: int):
             vocabulary = np.unique(np.concatenate(used))
             strings = [as_characters(w, vocabulary) for w in words]
             automaton = compiled({text[i : i + window] for text, at in zip(strings, starts) for i in at.tolist()})
-            for doc_id, version, string, own in zip(ids.tolist(), docs.column("version").to_pylist(), strings, windows):
+            starting = (docs.column(c).to_pylist() for c in ("version", "start"))
+            for doc_id, version, base, string, own in zip(ids.tolist(), *starting, strings, windows):
                 open_at = end = -1
                 for last, _ in automaton.iter(string):
                     if recurring.get(int(own[last - window + 1]), doc_id) >= doc_id:
                         continue
                     if last - window + 1 > end:
                         if end >= 0:
-                            spans.append((doc_id, version, open_at, end))
+                            spans.append((doc_id, version, base + open_at, base + end))
                         open_at = last - window + 1
                     end = last + 1
                 if end >= 0:
-                    spans.append((doc_id, version, open_at, end))
+                    spans.append((doc_id, version, base + open_at, base + end))
         columns = list(zip(*spans)) or [[]] * 4
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("doc_id", "version", "lo", "hi"), columns)})
 
@@ -170,9 +195,13 @@ def cut_batches(window: int):
     """The documents' words without those in their spans; of copies, without all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts, spans, copies in ids_and_texts(batches, "spans", "is_copy"):
+        for ids, texts, versions, spans in ids_and_texts(batches, "version", "spans"):
             n_words, n_removed, kept_text = [], [], []
-            for text, cuts, is_copy in zip(texts, spans, copies):
+            for text, version, cuts in zip(texts, versions, spans):
+                # A whole copy has a span that ends nowhere.
+                cuts = [c for c in cuts or [] if c["version"] == version]
+                is_copy = any(c["hi"] is None for c in cuts)
+                cuts = [c for c in cuts if c["hi"] is not None]
                 words = split_words(text)
                 kept = words
                 if is_copy and len(words) >= window:
@@ -205,46 +234,42 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     Other columns are ignored; an empty table gives an empty one. Windows are found by 64-bit
     hashes and matched word by word through 64-bit word hashes.
     """
-    texts = docs.select("doc_id", "text").withColumn("version", F.xxhash64("text"))
-    narrow = texts.select("doc_id", "version", F.xxhash64(F.lit(1), "text").alias("check"), F.octet_length("text").alias("bytes"))
-    known = stored(narrow.where("doc_id IS NOT NULL"), "texts")
+    every = docs.select("doc_id", "text").withColumn("version", F.xxhash64("text"))
+    texts = every.where("doc_id IS NOT NULL")
+    known = stored(texts.select("doc_id", "version", F.xxhash64(F.lit(1), "text").alias("check")), "texts")
     groups = known.groupBy("version", "check").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
     copies = known.join(groups, ["version", "check"]).where(F.col("doc_id") > F.col("first")).select("doc_id", "version").distinct()
-    copies = small(stored(copies, "copies"))
-    singles = texts.where("doc_id IS NOT NULL").join(copies, ["doc_id", "version"], "left_anti")
+    copies = stored(copies, "copies")
+    singles = texts.join(small(copies), ["doc_id", "version"], "left_anti")
 
     grams = singles.select("doc_id", "text").mapInArrow(gram_batches(window, gram), "gram long, doc_id long")
     owned = grams.groupBy("gram").agg(F.min("doc_id").alias("meeting"), F.max("doc_id").alias("most")).where("meeting < most")
-    met = grams.join(owned.select("gram", "meeting"), "gram").groupBy("meeting", "doc_id").agg(F.collect_set("gram").alias("grams"))
-    met = stored(met, "meetings")
-    lengths = known.groupBy("doc_id").agg(F.sum("bytes").alias("bytes"))
-    sizes = met.select("meeting", "doc_id").join(lengths, "doc_id").groupBy("meeting").agg(F.sum(F.col("bytes") + 500).alias("bytes"))
-    sizes = sizes.withColumn("chunks", F.ceil(F.col("bytes") / CHUNK_BYTES).cast("int"))
-    placed = met.join(sizes.select("meeting", "chunks"), "meeting")
-    placed = stored(placed.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")), "placed")
-
-    several = stored(placed.where("chunks > 1"), "several")
-    n_grams = several.agg(F.sum(F.size("grams"))).first()[0] or 0
-    spans_of = covered_spans(window)
+    met = stored(grams.join(owned.select("gram", "meeting"), "gram").select("meeting", "doc_id", "gram"), "meetings")
+    # Words around a gram, at a mean length of words, give the size of a meeting.
+    around = 8 * (2 * window - gram) // 2
+    sizes = met.groupBy("meeting").agg(F.ceil(F.count("*") * around / CHUNK_BYTES).cast("long").alias("chunks"))
+    chunk = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int").alias("chunk")
+    places = met.join(sizes, "meeting").groupBy("doc_id").agg(F.collect_list(F.struct("gram", "meeting", chunk, "chunks")).alias("places"))
+    copied = copies.select("doc_id", F.struct("version", F.lit(0).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi")).alias("span"))
+
+    # The documents are dealt by id once, for the words around their grams and for the cut.
+    segments = texts.join(places, "doc_id").join(small(copies), ["doc_id", "version"], "left_anti")
+    segments = segments.select("doc_id", "text", "version", "places").mapInArrow(segment_batches(window, gram), SEGMENT)
     at = ["meeting", "chunk"]
-    with_text = singles.join(small(placed.select("doc_id", "meeting", "chunk"), 1_000_000), "doc_id")
-    in_parts = singles.join(F.broadcast(several) if n_grams <= BROADCAST_GRAMS else several, "doc_id")
     counted = (
-        in_parts.groupBy(*at)
-        .applyInArrow(chunk_windows(window, gram), "meeting long, window long, low long, high long")
+        segments.groupBy(*at)
+        .applyInArrow(chunk_windows(window), "meeting long, window long, low long, high long")
         .groupBy("meeting", "window")
         .agg(F.min("low").alias("low"), F.max("high").alias("high"))
         .where("low < high")
     )
-    chunk_list = several.select(*at).distinct()
-    counted = stored(counted, "recurring").join(chunk_list, "meeting").select(*at, "window", "low")
-    spans = with_text.groupBy(*at).cogroup(counted.groupBy(*at)).applyInArrow(spans_of, "doc_id long, version long, lo long, hi long")
-    spans = spans.groupBy("doc_id", "version").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
-    spans = stored(spans, "spans")
-    n_spans = spans.agg(F.count("*").alias("n"), F.sum(F.size("spans")).alias("m")).first()
-    if 40 * (n_spans["n"] + (n_spans["m"] or 0)) <= BROADCAST_BYTES:
-        spans = F.broadcast(spans)
-    judged = texts.join(spans, ["doc_id", "version"], "left").join(copies.withColumn("is_copy", F.lit(True)), ["doc_id", "version"], "left")
-    return judged.select("doc_id", "text", "spans", "is_copy").mapInArrow(
+    counted = counted.join(sizes.where("chunks > 1"), "meeting")
+    counted = counted.select("meeting", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "window", "low")
+    spans = segments.groupBy(*at).cogroup(counted.groupBy(*at)).applyInArrow(covered_spans(window), "doc_id long, version long, lo long, hi long")
+    spans = spans.select("doc_id", F.struct("version", "lo", "hi").alias("span")).unionAll(copied)
+    spans = spans.groupBy("doc_id").agg(F.collect_set("span").alias("spans"))
+    judged = texts.join(spans, "doc_id", "left").select("doc_id", "text", "version", "spans")
+    nowhere = every.where("doc_id IS NULL").select("doc_id", "text", "version", F.lit(None).cast(judged.schema["spans"].dataType).alias("spans"))
+    return judged.unionAll(nowhere).mapInArrow(
         cut_batches(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
     )
