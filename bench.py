@@ -15,8 +15,6 @@ import time
 HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, HERE)
 
-from pyspark.sql import SparkSession  # noqa: E402
-
 from hourloom.plans.catalog import QUERIES  # noqa: E402
 from hourloom.session import get_spark  # noqa: E402
 
@@ -53,12 +51,10 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
-    SparkSession.builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-    SparkSession.builder.config("spark.driver.memory", "16g")
-    spark = get_spark("bench", f"local[{cpus}]", int(cpus))
+    conf = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"}
+    conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="bench-")
+    spark = get_spark("bench", f"local[{cpus}]", int(cpus), conf)
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
 
     QUERIES["hour_bucket"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     QUERIES["spline_fill"](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -14,14 +14,10 @@ from hourloom.operators.frames import drop_any_null, prefix_columns
 def right_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """All rows of ``right``, with the rows of ``left`` that match or nulls.
 
-    Built from an inner join and the unmatched rest. A busy key of ``left`` is split by
-    AQE in an inner join but not in an outer one, a small ``right`` can be broadcast,
-    and the rest is found from the distinct keys.
+    Spark's outer join, each input read once. Null keys match nothing, so a null ``right``
+    key comes out with nulls.
     """
-    matched = left.join(right, F.col(left_key) == F.col(right_key), "inner")
-    seen = left.select(F.col(left_key).alias("_seen")).distinct()
-    rest = right.join(seen, F.col(right_key) == F.col("_seen"), "left_anti")
-    return matched.unionByName(rest, allowMissingColumns=True)
+    return left.join(right, left[left_key] == right[right_key], "right")
 
 
 def two_role_dim_join(df: DataFrame, dim: DataFrame, dim_key: str, roles: Mapping[str, str]) -> DataFrame:

@@ -56,10 +56,13 @@ def _cumulative(df: DataFrame, score: str, label: str) -> DataFrame:
         )
     )
     points = stored(counted, "scores")
-    cutter: Bucketizer = QuantileDiscretizer(
-        numBuckets=SCORE_BUCKETS, inputCol="_score", outputCol="_bucket", handleInvalid="keep"
-    ).fit(points)
-    bucketed = cutter.transform(points)
+    if points.isEmpty():
+        bucketed = points.withColumn("_bucket", F.lit(0.0))
+    else:
+        cutter: Bucketizer = QuantileDiscretizer(
+            numBuckets=SCORE_BUCKETS, inputCol="_score", outputCol="_bucket", handleInvalid="keep"
+        ).fit(points)
+        bucketed = cutter.transform(points)
     # One row per bucket: bounded by SCORE_BUCKETS, whatever the data.
     above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
@@ -113,7 +116,7 @@ def roc_curve(df: DataFrame, score: str, label: str) -> DataFrame:
 
 
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Area under the ROC curve by trapezoids; null if a class is missing.
+    """Area under the ROC curve by trapezoids; null if a class is missing, or all rows.
 
     Each score adds its negatives times the positives above it plus half of those at
     it: the area of its trapezoid, so the points need not be sorted again.

@@ -30,7 +30,7 @@ from hourloom.operators.segments import HOUR
 from hourloom.operators.spline import spline_fill
 from hourloom.session import stored
 from hourloom.sources.raw import archive_records, csv_scan, matching_files, station_map
-from hourloom.sources.tables import YEAR, read_year, write_year
+from hourloom.sources.tables import YEAR, mark_finished, read_year, write_year
 
 STATION, HOUR_COL = "WBAN_WEATHER", "DATE_TIME"
 DELAY_MINUTES = 15
@@ -155,7 +155,8 @@ def run_year(
     tables: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame, schema) -> DataFrame:
-        write_year(df, paths.table(name), schema, year, fmt)
+        declared = df.select(*[c for c in schema.names if c in df.columns])
+        write_year(declared, paths.table(name), schema, year, fmt)
         tables[name] = read_year(spark, paths.table(name), schema, year, fmt)
         return tables[name]
 
@@ -197,11 +198,15 @@ def run_year(
     curve, area = roc_and_auc(scored, score, "label")
     test_roc = curve.withColumn("areaUnderROC", F.lit(area.first()["areaUnderROC"]).cast("double"))
     keep("test_roc", test_roc, S.ROC)
+    mark_finished(spark, paths.table("finished"), year)
     return tables
 
 
 def pending_partitions(done: DataFrame, spark: SparkSession, first: int, last: int, column: str = YEAR) -> DataFrame:
-    """Years from ``first`` to ``last`` that ``done`` has no row of."""
+    """Years from ``first`` to ``last`` that ``done`` has no row of.
+
+    ``done`` should be ``finished_years``: a year without rows leaves none in the tables.
+    """
     years = spark.range(first, last + 1).select(F.col("id").cast("int").alias(column))
     seen = done.select(F.col(column).alias("_seen")).distinct()
     return years.join(seen, F.col(column) == F.col("_seen"), "left_anti")

@@ -9,27 +9,51 @@ from pyspark.sql import types as T
 YEAR = "year"
 
 
-def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+def enforce_schema(df: DataFrame, schema: T.StructType, merge_schema: bool = False) -> DataFrame:
     """Columns in the declared order and type.
 
-    A missing column comes out null, an extra one is dropped, and a type without an
-    implicit cast (text to number) is an error.
+    A missing column comes out null, and a type without an implicit cast (text to number)
+    is an error. So is an extra column, unless ``merge_schema`` keeps it after the others.
     """
-    return df.to(schema)
+    extra = [f for f in df.schema if f.name not in schema.names]
+    if extra and not merge_schema:
+        raise ValueError(f"columns that the table does not have: {[f.name for f in extra]}")
+    return df.to(T.StructType([*schema.fields, *extra]))
 
 
 def with_year(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(YEAR, T.IntegerType())])
 
 
+def mark_finished(spark: SparkSession, path: str, year: int) -> None:
+    """Record that a year was run to its end, with or without rows; twice is as once."""
+    row = spark.createDataFrame([(year,)], f"{YEAR} int")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={year}")
+
+
+def finished_years(spark: SparkSession, path: str) -> DataFrame:
+    """Rows ``year`` of what ``mark_finished`` recorded at ``path``; none if it is new."""
+    schema = T.StructType([T.StructField(YEAR, T.IntegerType())])
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(YEAR)
+
+
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> None:
     """Create an empty table unless something is at ``path`` already."""
     spark.createDataFrame([], schema).write.format(fmt).mode("ignore").save(path)
 
 
-def append_table(df: DataFrame, path: str, schema: T.StructType, fmt: str = "parquet") -> None:
-    """Add rows; running it twice adds them twice."""
-    enforce_schema(df, schema).write.format(fmt).mode("append").save(path)
+def append_table(
+    df: DataFrame, path: str, schema: T.StructType, fmt: str = "parquet", merge_schema: bool = False
+) -> None:
+    """Add rows; running it twice adds them twice.
+
+    With ``merge_schema`` new columns are added to the table; older rows have nulls there
+    where the table is read with ``merge_schema``.
+    """
+    enforce_schema(df, schema, merge_schema).write.format(fmt).mode("append").save(path)
 
 
 def write_year(df: DataFrame, path: str, schema: T.StructType, year: int, fmt: str = "parquet") -> None:
@@ -50,9 +74,13 @@ def write_years(df: DataFrame, path: str, schema: T.StructType, fmt: str = "parq
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    fmt: str = "parquet",
+    merge_schema: bool = False,
 ) -> DataFrame:
-    reader = spark.read.format(fmt)
+    reader = spark.read.format(fmt).option("mergeSchema", merge_schema)
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 

@@ -10,13 +10,9 @@ from hourloom.session import get_spark  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    import pyspark
-
-    builder = pyspark.sql.SparkSession.builder
-    builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-    session = get_spark("tests", "local[8]", 4)
+    conf = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
+    conf["spark.checkpoint.dir"] = str(tmp_path_factory.mktemp("shared"))
+    session = get_spark("tests", "local[8]", 4, conf)
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()

@@ -122,12 +122,24 @@ def test_years_written_together(spark, tmp_path):
 
 def test_schema_is_enforced(spark):
     assert tables.enforce_schema(frame(spark, ("a", 1)), SCHEMA).schema == SCHEMA
-    partial = tables.enforce_schema(spark.range(1).select("id", F.lit(1).alias("extra")), SCHEMA)
-    assert [tuple(r) for r in partial.collect()] == [(0, None)]
+    assert [tuple(r) for r in tables.enforce_schema(spark.range(1), SCHEMA).collect()] == [(0, None)]
+    wider = spark.range(1).select("id", F.lit(1).alias("extra"))
+    with pytest.raises(ValueError, match="extra"):
+        tables.enforce_schema(wider, SCHEMA)
+    assert [tuple(r) for r in tables.enforce_schema(wider, SCHEMA, merge_schema=True).collect()] == [(0, None, 1)]
     with pytest.raises(Exception, match="required to be"):
         tables.enforce_schema(spark.createDataFrame([("x", "a")], "id string, name string"), SCHEMA)
 
 
+def test_empty_years_are_finished(spark, tmp_path):
+    path = str(tmp_path / "finished")
+    assert next_year(tables.finished_years(spark, path), spark, 2013, 2015) == 2013
+    tables.mark_finished(spark, path, 2013)
+    tables.mark_finished(spark, path, 2013)
+    assert next_year(tables.finished_years(spark, path), spark, 2013, 2015) == 2014
+    assert tables.finished_years(spark, path).count() == 1
+
+
 def test_audit(spark):
     got = tables.table_audit(frame(spark, ("a", 1), (None, 5)), "id").first().asDict()
     assert got == {"n_rows": 2, "name_nulls": 1, "id_nulls": 0, "min_id": 1, "max_id": 5}

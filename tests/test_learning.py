@@ -121,3 +121,9 @@ def test_forest_learns(spark):
     model, scored = rf_train_score(frame, frame, trees=3, depth=2)
     assert auc(scored, "prediction", "label").first()[0] == pytest.approx(1.0)
     assert model.getNumTrees == 3 and scored.columns == ["id", "label", "features", "probability", "prediction"]
+
+
+def test_no_scores_no_area(spark):
+    none = spark.createDataFrame([], "score double, label int")
+    assert auc(none, "score", "label").first()[0] is None
+    assert sorted(map(tuple, roc_curve(none, "score", "label").collect())) == [(0.0, 0.0), (1.0, 1.0)]

@@ -1,5 +1,6 @@
 """Session helpers, and functions that must run where the package is not installed."""
 
+import os
 import subprocess
 import sys
 
@@ -30,3 +31,16 @@ def test_stored_frames_are_pruned_scans(spark):
     frame = session.stored(spark.range(10).selectExpr("id", "id * 2 AS twice"))
     plan = frame.select("id")._jdf.queryExecution().executedPlan().toString()
     assert frame.count() == 10 and "ReadSchema: struct<id:bigint>" in plan
+
+
+def test_scratch_in_a_plain_session():
+    """Without a preset folder a local session makes its own, and a run can be cleared."""
+    code = (
+        "import os; from hourloom import session as s; k = s.get_spark('t', 'local[1]', 1, {'spark.ui.enabled': 'false'});"
+        "run = s.start_run(k); f = s.stored(k.range(3)); assert f.count() == 3;"
+        "at = os.path.join(s.shared_root(k), 'hourloom', run); assert os.listdir(at); s.clear(k, run); assert not os.path.exists(at)"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if "SPARK" not in k} | {"PYTHONPATH": root}
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, env=env)
+    assert out.returncode == 0, out.stderr[-2000:]
