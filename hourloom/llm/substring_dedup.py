@@ -242,7 +242,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     copies = stored(copies, "copies")
     singles = texts.join(small(copies), ["doc_id", "version"], "left_anti")
 
-    grams = singles.select("doc_id", "text").mapInArrow(gram_batches(window, gram), "gram long, doc_id long")
+    grams = stored(singles.select("doc_id", "text").mapInArrow(gram_batches(window, gram), "gram long, doc_id long"), "grams")
     owned = grams.groupBy("gram").agg(F.min("doc_id").alias("meeting"), F.max("doc_id").alias("most")).where("meeting < most")
     met = stored(grams.join(owned.select("gram", "meeting"), "gram").select("meeting", "doc_id", "gram"), "meetings")
     # Words around a gram, at a mean length of words, give the size of a meeting.
@@ -252,9 +252,11 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     places = met.join(sizes, "meeting").groupBy("doc_id").agg(F.collect_list(F.struct("gram", "meeting", chunk, "chunks")).alias("places"))
     copied = copies.select("doc_id", F.struct("version", F.lit(0).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi")).alias("span"))
 
-    # The documents are dealt by id once, for the words around their grams and for the cut.
-    segments = texts.join(places, "doc_id").join(small(copies), ["doc_id", "version"], "left_anti")
-    segments = segments.select("doc_id", "text", "version", "places").mapInArrow(segment_batches(window, gram), SEGMENT)
+    # The documents are dealt by id once, for the words around their grams and for the cut; both
+    # joins read the same exchange as long as nothing else filters one of them. A version that is
+    # a whole copy may come along here: its windows are those of the smaller id it copies.
+    segments = texts.join(places, "doc_id").select("doc_id", "text", "version", "places")
+    segments = segments.mapInArrow(segment_batches(window, gram), SEGMENT)
     at = ["meeting", "chunk"]
     counted = (
         segments.groupBy(*at)
