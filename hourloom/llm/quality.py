@@ -130,7 +130,7 @@ def sample_batches(dimensions: int):
             rows = [text_features(t, memory, dimensions) for t in texts]
             # The words kept are the same in every document: those of smallest hash.
             few = [r if len(r) <= SAMPLE_WORDS else r[np.argsort(r * 2654435761 % 4294967291)[:SAMPLE_WORDS]] for r in rows]
-            # Equal rows are told apart by their content, for one order of the sample.
+            # Rows of one id are told apart by their content, for one choice among them.
             keys = [hashlib.sha1(r.tobytes()).hexdigest() for r in few]
             columns = [pa.array(ids, pa.int64()), pa.array(keys), pa.array(grades, pa.int32()), pa.array([r.astype(np.int32) for r in few], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "grade", "features"])
@@ -146,7 +146,7 @@ def fitted(sample: DataFrame, dimensions: int, n_grades: int) -> Model | None:
     """
 
     def fit(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending"), ("key", "ascending")])
+        table = table.sort_by("doc_id")
         features = table.column("features").combine_chunks()
         values, edges = features.flatten().to_numpy().astype(np.int64), features.offsets.to_numpy()
         edges = edges - edges[0]
@@ -155,6 +155,8 @@ def fitted(sample: DataFrame, dimensions: int, n_grades: int) -> Model | None:
         return pa.table({"weights": [weights.astype(np.float32).tobytes()], "thresholds": [thresholds.tobytes()]})
 
     rows = sample.mapInArrow(sample_batches(dimensions), "doc_id long, key string, grade int, features array<int>")
+    # Of rows that repeat an id one is fitted, so the bound holds whatever the table.
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("key", "grade", "features")).alias("row")).select("doc_id", "row.*")
     model = rows.groupBy(F.lit(0).alias("all")).applyInArrow(fit, "weights binary, thresholds binary").first()
     return model and (np.frombuffer(model["weights"], np.float32).astype(float), np.frombuffer(model["thresholds"]))
 
@@ -202,8 +204,8 @@ def classify(
     probability is at least ``cutoff``.
 
     A null text is an empty one, which has a bucket of its own. Without labelled documents
-    both figures are null and everything is selected. Rows that repeat are scored each, and
-    all rows of a sampled id are fitted. Rows without an id are scored. Input columns of the
+    both figures are null and everything is selected. Rows that repeat are scored each;
+    of the rows of a sampled id one is fitted. Rows without an id are scored. Input columns of the
     outputs' names are not carried; an empty table gives an empty one.
     """
     drawn = graded(labels).orderBy(F.xxhash64(F.lit(17), "doc_id"), "doc_id").limit(sample)

@@ -204,6 +204,12 @@ def test_classifier_edges(spark):
     assert quality.classify(edge.where("false"), odd).count() == 0
 
 
+def test_classifier_fits_one_row_of_an_id(spark):
+    docs = spark.createDataFrame([(i, f"{'fine' if i % 2 else 'awful'} text {i}", i % 2 * 2) for i in range(80)], "doc_id long, text string, grade int")
+    once, often = (quality.fitted(d, 4096, 3) for d in (docs, docs.unionAll(docs.where("doc_id = 4")).unionAll(docs)))
+    assert all((a == b).all() for a, b in zip(once, often)) and once[0].any()
+
+
 VECTORS = [(0, [1.0, -2.5]), (50, [0.5, 0.25]), (100, None), (7, [1.0, None]), (8, [float("nan"), 1.0]), (9, [float("inf"), 1.0]), (None, [1.0, 1.0]), (3, [0.5, 0.25]), (4, [0.5, 0.25]), (5, [0.5]), (150, [2.0]), (11, []), (200, []), (12, [1e9, -1e9]), (13, [1e15, 1e15])]
 
 
