@@ -13,7 +13,8 @@ from hourloom.llm.common import DOCUMENT_COLUMNS, small, stored
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
 MOST_COPIES = 2
-RANGES = 4096
+#: Ranges of the key in a source; the one that holds the cut is sorted.
+RANGES = 1 << 16
 SEED = 11
 
 
