@@ -16,6 +16,9 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SPACE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+#: Rows of an Arrow batch that a task works on at once; what it returns is as short.
+SLICE_ROWS = 1000
+
 #: Most rows of a table that is sent to every executor; above it the join shuffles.
 BROADCAST_ROWS = 500_000
 
@@ -48,9 +51,16 @@ def wide_hash(*cols: Column) -> list[Column]:
     return [F.xxhash64(F.lit(1), *cols).alias("h1"), F.xxhash64(F.lit(2), *cols).alias("h2")]
 
 
-def ids_and_texts(batches, *others: str) -> Iterator[tuple[list, ...]]:
-    """doc_id, the text's UTF-8 bytes, and other columns of each Arrow batch, as lists."""
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """All rows of the batches, at most ``rows`` at once."""
     for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
+def ids_and_texts(batches, *others: str) -> Iterator[tuple[list, ...]]:
+    """doc_id, the text's UTF-8 bytes, and other columns of each slice of the batches, as lists."""
+    for batch in in_slices(batches):
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         yield batch.column("doc_id").to_pylist(), texts, *[batch.column(c).to_pylist() for c in others]
 
@@ -63,6 +73,7 @@ __all__ = [
     "UPPER",
     "Query",
     "ids_and_texts",
+    "in_slices",
     "ascii_lower",
     "small",
     "spread",

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import stored
+from hourloom.llm.common import in_slices, stored
 
 VOCABULARY = "byte_bpe_50k"
 CAPACITY = 2048
@@ -22,7 +22,7 @@ END_ID = 1
 #: Pieces that one task packs; enough for windows to fill to the last few.
 SHARD_PIECES = 2000
 #: Chunks of text a worker remembers the ids of; it starts afresh beyond them.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: White space that isn't one plain space or line feed between two other characters.
 UNEVEN = re.compile(r"\s\s|[^\S \n]")
 
@@ -79,7 +79,7 @@ def piece_batches(path: str, capacity: int, end_id: int, with_ids: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, end = chunk_ids(path), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in in_slices(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 data = memory.of_text(text or "") + end
@@ -87,9 +87,9 @@ def piece_batches(path: str, capacity: int, end_id: int, with_ids: bool):
                 for start in range(0, total, capacity):
                     ids = data[4 * start : 4 * (start + capacity)]
                     row = (doc_id, start, len(ids) // 4, zlib.crc32(ids), total)
-                    rows.append((*row, np.frombuffer(ids, "<u4").astype(np.int64)) if with_ids else row)
+                    rows.append((*row, np.frombuffer(ids, "<i4")) if with_ids else row)
             columns = list(zip(*rows)) or [[]] * (5 + with_ids)
-            arrays = [pa.array(c, pa.int64()) for c in columns[:5]] + [pa.array(c, pa.list_(pa.int64())) for c in columns[5:]]
+            arrays = [pa.array(c, pa.int64()) for c in columns[:5]] + [pa.array(c, pa.list_(pa.int32())) for c in columns[5:]]
             yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in PIECE.split(", ")] + ["ids"] * with_ids)
 
     return run
@@ -173,7 +173,7 @@ def pack(
     sequence.
     """
     path = vocabulary or vocabulary_path()
-    schema = PIECE + (", ids array<long>" if with_ids else "")
+    schema = PIECE + (", ids array<int>" if with_ids else "")
     pieces = docs.select("doc_id", "text").mapInArrow(piece_batches(path, capacity, end_id, with_ids), schema)
     pieces = stored(pieces, "pieces")
     shards = -(-pieces.count() // SHARD_PIECES) or 1

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import ids_and_texts
+from hourloom.llm.common import ids_and_texts, in_slices
 from hourloom.llm.words import WordHashes, hashed, split_words
 
 #: Bound of the sample that is fitted: labelled documents, drawn by the hash of their id.
@@ -66,7 +66,7 @@ def evidence(flat: np.ndarray, row_of: np.ndarray, grades: np.ndarray, dimension
     n, best = len(grades), np.zeros(dimensions)
     held = np.bincount(flat, minlength=dimensions)
     for grade in np.unique(grades):
-        among, of_grade = np.bincount(flat, grades[row_of] == grade, dimensions), (grades == grade).sum()
+        among, of_grade = np.bincount(flat[(grades == grade)[row_of]], minlength=dimensions), (grades == grade).sum()
         cells = [(among, held, of_grade), (held - among, held, n - of_grade), (of_grade - among, n - held, of_grade)]
         cells.append((n - held - of_grade + among, n - held, n - of_grade))
         best = np.maximum(best, 2 * sum(part(seen, a * (b / n)) for seen, a, b in cells))
@@ -84,10 +84,10 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, dimensions: int, n_g
     n = len(rows)
     length = np.array([len(r) for r in rows])
     flat = np.concatenate(rows)
-    row_of = np.repeat(np.arange(n), length)
+    row_of = np.repeat(np.arange(n, dtype=np.int32), length)
     used = np.flatnonzero(evidence(flat, row_of, grades, dimensions) >= EVIDENCE)
-    place = np.full(dimensions, -1)
-    place[used] = np.arange(len(used))
+    place = np.full(dimensions, -1, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
     keep = place[flat] >= 0
     flat, row_of = place[flat[keep]], row_of[keep]
     starts = np.searchsorted(row_of, np.arange(n + 1))
@@ -148,7 +148,7 @@ def fitted(sample: DataFrame, dimensions: int, n_grades: int) -> Model | None:
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by("doc_id")
         features = table.column("features").combine_chunks()
-        values, edges = features.flatten().to_numpy().astype(np.int64), features.offsets.to_numpy()
+        values, edges = features.flatten().to_numpy(), features.offsets.to_numpy()
         edges = edges - edges[0]
         rows = [values[a:b] for a, b in zip(edges[:-1], edges[1:])]
         weights, thresholds = fit_ordinal(rows, table.column("grade").to_numpy().astype(np.int64), dimensions, n_grades)
@@ -166,7 +166,7 @@ def score_batches(model: Model | None, dimensions: int, cutoff: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordHashes()
-        for batch in batches:
+        for batch in in_slices(batches):
             n = batch.num_rows
             if packed is None:
                 expected, tail, keep = pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64()), pa.array([True] * n)

@@ -7,7 +7,7 @@ import xxhash
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Words a task remembers the hash of; it starts afresh beyond them.
-REMEMBERED = 1_000_000
+REMEMBERED = 250_000
 
 
 class WordHashes(dict):
