@@ -15,11 +15,11 @@ from hourloom.operators.segments import HOUR, PIECE_ROWS, with_series_index
 
 
 def _in_pieces(
-    df: DataFrame, keys: list[str], ts: str, n: int, step_seconds: int | None, segment_seconds: int
+    df: DataFrame, keys: list[str], ts: str, n: int, step_seconds: int | None, segment_seconds: int, piece_rows: int
 ) -> DataFrame:
     """Give each row its place in the series, and copy it to every piece that needs it.
 
-    Series are cut into pieces of ``PIECE_ROWS`` places. The last ``n`` places of a
+    Series are cut into pieces of ``piece_rows`` places. The last ``n`` places of a
     piece also belong to the next one, so each piece finds all its lags by itself.
     Rows are at home where ``_piece = _home``.
     """
@@ -27,7 +27,7 @@ def _in_pieces(
         placed = df.withColumn("_place", F.floor(epoch_seconds(ts) / step_seconds))
     else:
         placed = with_series_index(df, keys, ts, "_place", segment_seconds)
-    size = max(PIECE_ROWS, n)
+    size = max(piece_rows, n)
     needed_next = F.pmod("_place", F.lit(size)) >= size - n
     pieces = F.when(needed_next, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))
     return placed.withColumn("_home", F.floor(F.col("_place") / size)).withColumn("_piece", F.explode(pieces))
@@ -41,6 +41,7 @@ def with_lags(
     n: int = 12,
     step_seconds: int | None = None,
     segment_seconds: int = PIECE_ROWS * HOUR,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Add ``{col}_lag_1`` .. ``{col}_lag_n``, the values of the n rows before.
 
@@ -58,7 +59,7 @@ def with_lags(
             if step_seconds:
                 near = F.col("_place") - F.lag("_place", i).over(order) == i
                 lags[f"{c}_lag_{i}"] = F.when(near, lags[f"{c}_lag_{i}"])
-    lagged = _in_pieces(df, keys, ts, n, step_seconds, segment_seconds).withColumns(lags)
+    lagged = _in_pieces(df, keys, ts, n, step_seconds, segment_seconds, piece_rows).withColumns(lags)
     return lagged.where("_piece = _home").drop("_place", "_home", "_piece")
 
 
@@ -71,6 +72,7 @@ def lag_stack(
     out: str = "features",
     step_seconds: int | None = None,
     segment_seconds: int = PIECE_ROWS * HOUR,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """The feature array followed by those of the n rows before, newest first.
 
@@ -81,7 +83,7 @@ def lag_stack(
     order = Window.partitionBy(*keys, "_piece").orderBy("_place")
     lags = {f"_lag_{i}": F.lag(features, i).over(order) for i in range(1, n + 1)}
     oldest = F.lag("_place", n).over(order)
-    pieces = _in_pieces(df.select(*keys, ts, features), keys, ts, n, step_seconds, segment_seconds)
+    pieces = _in_pieces(df.select(*keys, ts, features), keys, ts, n, step_seconds, segment_seconds, piece_rows)
     # Places are unique, so n rows back being n places back leaves no hole between.
     full = pieces.withColumns({**lags, "_oldest": oldest}).where("_piece = _home AND _place - _oldest = " + str(n))
     parts = [features, *lags]

@@ -35,6 +35,11 @@ def rf_train_score(
     return model, score(model, test, features)
 
 
+def load_model(path: str) -> RandomForestClassificationModel:
+    """A forest that ``model.write().save(path)`` has saved."""
+    return RandomForestClassificationModel.load(path)
+
+
 def score(model: RandomForestClassificationModel, df: DataFrame, features: str = "features") -> DataFrame:
     scored = model.transform(df.withColumn("_vector", array_to_vector(F.col(features))))
     return scored.withColumn("probability", vector_to_array("probability")[1]).drop("_vector", "rawPrediction")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hourloom.operators.aggregates import class_counts
-from hourloom.operators.model import auc, rf_train_score, roc_curve
+from hourloom.operators.model import auc, load_model, rf_train_score, roc_curve, score
 from hourloom.operators.sampling import random_order, shuffle_key, stratified_split, undersample
 from hourloom.plans.registry import events, query, table
-from hourloom.session import stored
+from hourloom.session import scratch_path, stored
 
 
 def _labelled(spark, sf):
@@ -32,6 +32,27 @@ def balanced(spark, sf):
     return undersample(_labelled(spark, sf), "label", id_cols=["event_id"]).drop("in_train")
 
 
+_KINDS = "SELECT event_type, user_id % 3 AS part, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS label FROM events"
+
+
+@query(
+    "undersample_copies",
+    f"""WITH e AS ({_KINDS}),
+        g AS (SELECT label, count(*) AS n FROM e GROUP BY label),
+        m AS (SELECT min(n) AS keep FROM g)
+        SELECT label, n AS have, keep::BIGINT AS drawn, floor(keep * 0.8)::BIGINT AS in_train FROM g, m""",
+)
+def balanced_copies(spark, sf):
+    """Rows without an id, nearly all of them copies: what each class has, keeps and trains on."""
+    kinds = events(spark, sf).select(
+        "event_type", (F.col("user_id") % 3).alias("part"), F.when(F.col("event_type") == "error", 1).otherwise(0).alias("label")
+    )
+    drawn = undersample(kinds, "label").groupBy("label").agg(
+        F.count(F.lit(1)).alias("drawn"), F.count_if("in_train").alias("in_train")
+    )
+    return class_counts(kinds, "label").withColumnRenamed("n", "have").join(drawn, "label")
+
+
 @query(
     "stratified_split",
     f"""WITH {_RANKED} SELECT event_id, label, CASE WHEN place <= floor(keep * 0.8) THEN 'train' ELSE 'test' END AS part
@@ -90,3 +111,35 @@ def embedding_forest(spark, sf):
     train, test = stratified_split(stored(undersample(vectors, "label", id_cols=["vec_id"]), "balanced"))
     _, scored = rf_train_score(train, test)
     return scored.select("vec_id", "label", "prediction", F.round("probability", 6).alias("probability"))
+
+
+_TOLD = f"""WITH {_RANKED}, p AS (SELECT r.event_id, label, CASE WHEN place <= floor(keep * 0.8) THEN 0 ELSE 1 END AS test
+                               FROM r, m WHERE place <= keep)
+            SELECT event_id, label, label::DOUBLE AS prediction FROM p WHERE test = 1"""
+
+
+def _told(spark, sf):
+    """A forest on features that tell the label without a doubt, and its test rows."""
+    kind = F.col("event_type") == "error"
+    told = events(spark, sf).select(
+        "event_id",
+        F.when(kind, 1).otherwise(0).alias("label"),
+        F.array(*[F.when(kind, 1.0).otherwise(0.0).cast("float")] * 2).alias("features"),
+    )
+    train, test = stratified_split(stored(undersample(told, "label", id_cols=["event_id"]), "balanced"))
+    model, scored = rf_train_score(train, test, trees=5, depth=3)
+    return model, test, scored
+
+
+@query("rf_exact_score", _TOLD)
+def certain_forest(spark, sf):
+    return _told(spark, sf)[2].select("event_id", "label", "prediction")
+
+
+@query("rf_saved_score", _TOLD)
+def saved_forest(spark, sf):
+    """Scored by the model that was saved and loaded again."""
+    model, test, _ = _told(spark, sf)
+    path = scratch_path(spark, "model")
+    model.write().save(path)
+    return score(load_model(path), test).select("event_id", "label", "prediction")

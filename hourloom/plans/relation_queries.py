@@ -109,6 +109,19 @@ def hourly_means(spark, sf):
     return means.withColumns({"hour": plain("hour"), "value": F.round("value", 4)})
 
 
+@query(
+    "hourly_mean_attributes",
+    """SELECT event_type, date_trunc('hour', ts)::TIMESTAMP AS hour, round(avg(round(value * 100)), 4) AS value,
+              arg_min(user_id, struct_pack(ts, user_id, props)) AS user_id, arg_min(props, struct_pack(ts, user_id, props)) AS props
+       FROM events GROUP BY ALL""",
+)
+def hourly_means_with_attributes(spark, sf):
+    """Means with the user and the text of the earliest reading."""
+    whole = events(spark, sf).withColumn("value", cents())
+    means = A.hourly_mean(whole, "event_type", "ts", ["value"], ["user_id", "props"])
+    return means.withColumns({"hour": plain("hour"), "value": F.round("value", 4)})
+
+
 _REST = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_linestatus"]
 
 

@@ -123,41 +123,56 @@ _FILLED = f"""{_SPLINE},
         LEFT JOIN h ON g.k = h.k AND g.hour = h.hour)"""
 
 
-@query(
-    "spline_coefficients",
-    f"""WITH {_SPLINE} SELECT k AS event_type, hour::TIMESTAMP AS hour, round(a, 4) AS a, round(b, 4) AS b,
-                              round(c, 4) AS c, round(d, 4) AS d FROM coef""",
-)
-def type_splines(spark, sf):
-    cubics = spline_coefficients(_type_hours(spark, sf), "event_type", "hour", "value")
+_CUBICS_SQL = f"""WITH {_SPLINE} SELECT k AS event_type, hour::TIMESTAMP AS hour, round(a, 4) AS a, round(b, 4) AS b,
+                              round(c, 4) AS c, round(d, 4) AS d FROM coef"""
+_FILLED_SQL = f"WITH {_FILLED} SELECT k AS event_type, hour::TIMESTAMP AS hour, round(y, 4) AS value FROM filled"
+
+
+@query("spline_coefficients", _CUBICS_SQL)
+def type_splines(spark, sf, **options):
+    cubics = spline_coefficients(_type_hours(spark, sf), "event_type", "hour", "value", **options)
     return cubics.withColumns({"hour": plain("hour"), **{p: F.round(p, 4) for p in "abcd"}})
 
 
-@query(
-    "spline_fill",
-    f"WITH {_FILLED} SELECT k AS event_type, hour::TIMESTAMP AS hour, round(y, 4) AS value FROM filled",
-)
-def type_filled(spark, sf):
-    filled = spline_fill(_type_grid(spark, sf), "event_type", "hour", ["value"])
+@query("spline_coefficients_segments", _CUBICS_SQL)
+def type_splines_in_segments(spark, sf):
+    """Each series in slices of two days, every slice solved with its halo."""
+    return type_splines(spark, sf, segment_seconds=48 * HOUR)
+
+
+@query("spline_fill", _FILLED_SQL)
+def type_filled(spark, sf, **options):
+    filled = spline_fill(_type_grid(spark, sf), "event_type", "hour", ["value"], **options)
     return filled.withColumns({"hour": plain("hour"), "value": F.round("value", 4)})
 
 
+@query("spline_fill_segments", _FILLED_SQL)
+def type_filled_in_segments(spark, sf):
+    return type_filled(spark, sf, segment_seconds=48 * HOUR)
+
+
 _USER_TOPS = "SELECT user_id, date_trunc('hour', ts) AS hour, max(value) AS top FROM events GROUP BY ALL"
 _LAGGED = ", ".join(f"lag(top, {i}) OVER w AS top_lag_{i}" for i in range(1, LAGS + 1))
 
 
-@query(
-    "lags_1_12",
-    f"""SELECT user_id, hour::TIMESTAMP AS hour, top, {_LAGGED} FROM ({_USER_TOPS})
-        WINDOW w AS (PARTITION BY user_id ORDER BY hour) QUALIFY top_lag_{LAGS} IS NOT NULL""",
-)
-def user_lags(spark, sf):
+_LAGS_SQL = f"""SELECT user_id, hour::TIMESTAMP AS hour, top, {_LAGGED} FROM ({_USER_TOPS})
+        WINDOW w AS (PARTITION BY user_id ORDER BY hour) QUALIFY top_lag_{LAGS} IS NOT NULL"""
+
+
+@query("lags_1_12", _LAGS_SQL)
+def user_lags(spark, sf, **options):
     """By row: hours without an event are no rows, so these series are not regular."""
     tops = events(spark, sf).groupBy("user_id", utc_hour("ts").alias("hour")).agg(F.max("value").alias("top"))
-    lagged = with_lags(tops, "user_id", "hour", ["top"], LAGS)
+    lagged = with_lags(tops, "user_id", "hour", ["top"], LAGS, **options)
     return lagged.na.drop().withColumn("hour", plain("hour"))
 
 
+@query("lags_pieces", _LAGS_SQL)
+def user_lags_in_pieces(spark, sf):
+    """Numbered by slices of three days, lagged in pieces of 16 rows."""
+    return user_lags(spark, sf, segment_seconds=72 * HOUR, piece_rows=16)
+
+
 def _stack_sql(values: list[str], digits: int) -> str:
     """Elements f0, f1, ... of a stack: the values now, then those of each lag, as 32-bit floats."""
     out = []
@@ -172,9 +187,7 @@ def _elements(array: str, n: int, digits: int):
     return [F.round(F.col(array)[i].cast("double"), digits).alias(f"f{i}") for i in range(n)]
 
 
-@query(
-    "lag_stack",
-    f"""WITH h AS (SELECT event_type, date_trunc('hour', ts) AS hour, max(value) AS top, count(*) AS n
+_STACK_SQL = f"""WITH h AS (SELECT event_type, date_trunc('hour', ts) AS hour, max(value) AS top, count(*) AS n
                    FROM events GROUP BY ALL),
         grid AS (SELECT event_type, unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour
                  FROM h GROUP BY event_type),
@@ -182,9 +195,11 @@ def _elements(array: str, n: int, digits: int):
               FROM grid LEFT JOIN h USING (event_type, hour))
         SELECT event_type, hour::TIMESTAMP AS hour, {_stack_sql(["top", "n"], 3)} FROM g
         WINDOW w AS (PARTITION BY event_type ORDER BY hour)
-        QUALIFY row_number() OVER w > {LAGS}""",
-)
-def type_stacks(spark, sf):
+        QUALIFY row_number() OVER w > {LAGS}"""
+
+
+@query("lag_stack", _STACK_SQL)
+def type_stacks(spark, sf, **options):
     hours = (
         events(spark, sf)
         .groupBy("event_type", utc_hour("ts").alias("hour"))
@@ -192,10 +207,16 @@ def type_stacks(spark, sf):
     )
     grid = R.resample(hours, "event_type", "hour", ["top"], ["top", "n"], min_rows=1).na.fill(0)
     packed = grid.select("event_type", "hour", pack_features(["top", "n"]).alias("now"))
-    stacked = lag_stack(packed, "event_type", "hour", "now", LAGS, step_seconds=HOUR)
+    stacked = lag_stack(packed, "event_type", "hour", "now", LAGS, step_seconds=HOUR, **options)
     return stacked.select("event_type", plain("hour").alias("hour"), *_elements("features", 2 * (LAGS + 1), 3))
 
 
+@query("lag_stack_pieces", _STACK_SQL)
+def type_stacks_in_pieces(spark, sf):
+    """Stacked in pieces of two days, each with the last hours of the piece before."""
+    return type_stacks(spark, sf, piece_rows=48)
+
+
 @query(
     "event_features",
     f"""WITH {_FILLED},

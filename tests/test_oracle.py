@@ -25,7 +25,7 @@ def bag(rows, columns):
     return sorted(tuple(repr(r[i]) for i in order) for r in rows)
 
 
-def test_only_the_forest_has_no_sql():
+def test_only_the_forest_on_embeddings_has_no_sql():
     assert set(QUERIES) - set(ORACLES) == {"rf_train_score"}
 
 
