@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import ids_and_texts, small, stored
+from hourloom.llm.common import ids_and_texts, in_slices, small, stored, wide_hash
 from hourloom.llm.words import WordHashes, gram_hashes, hashed, split_words
 
 SHINGLE = 5
@@ -329,8 +329,46 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, k: int = SKETCH) -> Da
     )
 
 
+def digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, with the size and the digest of each text's shingle set."""
+    memory = WordHashes()
+    for batch in in_slices(batches):
+        sets = [shingle_set(t, memory) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        halves = np.frombuffer(b"".join(xxhash.xxh3_128(s.tobytes()).digest() for s in sets), np.int64).reshape(-1, 2)
+        digest = [pa.array([len(s) for s in sets], pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1])]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *digest], [*batch.schema.names, "_shingles", "_d1", "_d2"])
+
+
+def one_row_each(rows: DataFrame) -> DataFrame:
+    """One row per id, and one per shingle set of the rows without an id.
+
+    Of an id's versions the one of most shingles stays, then the longest. Each task leaves
+    one row of a group before the shuffle, so a group may hold any share of the rows.
+    Texts without words have no set to go by; without an id, only equal ones are one.
+    """
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), "_shingles long, _d1 long, _d2 long"])
+    sized = rows.mapInArrow(digest_batches, schema)
+    own = [F.when(F.col("_shingles") > 0, F.col(d)).otherwise(h) for d, h in zip(("_d1", "_d2"), wide_hash("text"))]
+    group = [F.when(F.col("doc_id").isNull(), k) for k in (F.least(F.col("_shingles"), F.lit(1)), *own)]
+    order = F.struct("_shingles", F.octet_length("text"), *wide_hash("text"), F.xxhash64(*rows.columns))
+    keyed = sized.select("doc_id", *[k.alias(f"_g{i}") for i, k in enumerate(group)], F.struct(*rows.columns).alias("_row"), order.alias("_order"))
+    return keyed.groupBy("doc_id", "_g0", "_g1", "_g2").agg(F.max_by("_row", "_order").alias("_row")).select("_row.*")
+
+
 def one_of_each(docs: DataFrame, threshold: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose document is kept, once per id and text."""
+    """One row of every component of ``near_duplicates``: that of the kept id.
+
+    Rows that repeat a kept id, with the same text or as versions of it, leave one row.
+    Rows without an id are in no component; of those with equal shingle sets one stays.
+    """
     gone = near_duplicates(docs, threshold).where("NOT kept").select("doc_id").distinct()
     gone = small(stored(gone, "near-copies"))
-    return docs.join(gone, "doc_id", "left_anti")
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    again = stored(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
+    if not again.limit(1).count():
+        return left
+    # Rows whose id is theirs alone don't move.
+    ids, loose = small(again.where("doc_id IS NOT NULL")), left.where("doc_id IS NULL")
+    alone = left.where("doc_id IS NOT NULL").join(ids, "doc_id", "left_anti").select(*docs.columns)
+    repeated = left.join(ids, "doc_id", "left_semi").select(*docs.columns)
+    return alone.unionAll(one_row_each(repeated.unionAll(loose)))

@@ -1,8 +1,9 @@
 """Every stage of the pipeline against brute force on what the stage before kept."""
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import corpus_pipeline
+from hourloom.llm import near_dup
 from hourloom.llm.common import stored
 from hourloom.llm.queries import QUERIES
 from tests.llm import brute
@@ -63,3 +64,27 @@ def test_stages_on_edges(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, SMALL))
     assert docs.count() > 0
+
+
+def test_near_dup_stage_leaves_one_row_of_each_group(spark):
+    """Repeated rows, near and other versions of one id, and copies without an id."""
+    old = "words that near versions of one document share " * 3 + " ".join(f"n{k}" for k in range(80))
+    more = [(30, old, "en", "a", 1), (30, old + " end", "en", "a", 1), (30, "", "en", "a", 0), (31, old, "en", "a", 1), (31, old, "en", "a", 1)]
+    more += [(32, None, "en", "a", 0), (32, "", "en", "a", 0), (33, "another text of one id", "en", "a", 1), (33, "a version of it that is not alike", "en", "a", 1)]
+    more += [(None, "a text WITHOUT an id here", "en", "b", 1), (None, "a text without an  id here", "en", "a", 1), (None, "", "en", "a", 0), (None, "", "en", "a", 0)]
+    rows = brute.EDGES + more
+    rows = rows + rows[::3] + [(6, brute.EDGES[6][1], "en", "a", 1)] * len(rows)
+    texts = [(r[0], r[1]) for r in rows]
+    kept = {i for i, _, _, k in brute.near(texts, 80) if k and i is not None}
+    kept -= {i for i, _, _, k in brute.near(texts, 80) if not k}
+    after = dict(corpus_pipeline.STAGES)["near_dup"](spark, brute.edge_frame(spark, rows), SMALL).collect()
+    assert sorted(r.doc_id for r in after if r.doc_id is not None) == sorted(kept)
+    assert {tuple(r) for r in after} <= set(rows)
+    assert {r.doc_id: r.text for r in after}[30] == old + " end"
+    loose = lambda found: [frozenset(brute.shingles(t)) or t for i, t in found if i is None]
+    assert Counter(set(loose(texts))) == Counter(loose([(r.doc_id, r.text) for r in after]))
+
+
+def test_a_table_without_repeats_is_not_regrouped(spark, documents):
+    plan = near_dup.one_of_each(documents[0])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "MapInArrow" not in plan
