@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hourloom.functions.times import epoch_seconds
+from hourloom.operators.frames import join_on_keys
 
 HOUR = 3600
 # Rows of an hourly series in one piece (a little under a year).
@@ -39,15 +40,15 @@ def running_offsets(counts: DataFrame, keys: Sequence[str], n: str, offset: str)
 def with_series_index(df: DataFrame, keys: Sequence[str], ts: str, out: str, segment_seconds: int) -> DataFrame:
     """Number the rows of each series from 0 in time order ((keys, ts) must be unique).
 
-    Rows without a key or a time belong to no series and are dropped. The join and the
-    window share one partitioning.
+    Rows whose key is null are a series too, as in a window; rows without a time belong to
+    no series and are dropped. The null-safe join costs the window a shuffle of its own.
     """
     pieces = with_segment(df, ts, segment_seconds)
     counts = pieces.groupBy(*keys, SEGMENT).agg(F.count(F.lit(1)).alias("_count"))
     offsets = running_offsets(counts, keys, "_count", "_offset").drop("_count")
     inside = Window.partitionBy(*keys, SEGMENT).orderBy(ts)
     return (
-        pieces.join(offsets, [*keys, SEGMENT])
+        join_on_keys(pieces.where(F.col(SEGMENT).isNotNull()), offsets, [*keys, SEGMENT])
         .withColumn(out, F.row_number().over(inside) - 1 + F.col("_offset"))
         .drop("_offset", SEGMENT)
     )

@@ -162,9 +162,13 @@ _LAGS_SQL = f"""SELECT user_id, hour::TIMESTAMP AS hour, top, {_LAGGED} FROM ({_
 @query("lags_1_12", _LAGS_SQL)
 def user_lags(spark, sf, **options):
     """By row: hours without an event are no rows, so these series are not regular."""
-    tops = events(spark, sf).groupBy("user_id", utc_hour("ts").alias("hour")).agg(F.max("value").alias("top"))
+    return _user_lags(events(spark, sf), **options)
+
+
+def _user_lags(rows, **options):
+    tops = rows.groupBy("user_id", utc_hour("ts").alias("hour")).agg(F.max("value").alias("top"))
     lagged = with_lags(tops, "user_id", "hour", ["top"], LAGS, **options)
-    return lagged.na.drop().withColumn("hour", plain("hour"))
+    return lagged.where(F.col(f"top_lag_{LAGS}").isNotNull()).withColumn("hour", plain("hour"))
 
 
 @query("lags_pieces", _LAGS_SQL)
@@ -173,6 +177,16 @@ def user_lags_in_pieces(spark, sf):
     return user_lags(spark, sf, segment_seconds=72 * HOUR, piece_rows=16)
 
 
+_NULL_KEY = "(SELECT * REPLACE (CASE WHEN user_id % 4 <> 0 THEN user_id END AS user_id, CASE WHEN event_id % 3 <> 0 THEN value END AS value) FROM events)"
+
+
+@query("lags_null_key", _LAGS_SQL.replace("FROM events", f"FROM {_NULL_KEY}"))
+def user_lags_null_key(spark, sf):
+    """A quarter of the users are one series without a key, and every third value is missing."""
+    holes = {"user_id": F.when(F.col("user_id") % 4 != 0, F.col("user_id")), "value": F.when(F.col("event_id") % 3 != 0, F.col("value"))}
+    return _user_lags(events(spark, sf).withColumns(holes), segment_seconds=72 * HOUR, piece_rows=16)
+
+
 def _stack_sql(values: list[str], digits: int) -> str:
     """Elements f0, f1, ... of a stack: the values now, then those of each lag, as 32-bit floats."""
     out = []

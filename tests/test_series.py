@@ -307,3 +307,11 @@ def test_series_index(spark):
     frame = series(spark, [(i * 5, float(i)) for i in range(40)]).unionByName(series(spark, [(3, 0.0)], "b"))
     got = with_series_index(frame, ["k"], "ts", "n", 7 * HOUR).orderBy("k", "ts").collect()
     assert [r.n for r in got] == [*range(40), 0]
+
+
+@pytest.mark.parametrize("step", [None, HOUR])
+def test_lags_keep_the_series_without_a_key(spark, step):
+    frame = series(spark, [(i, float(i)) for i in range(40)], None).unionAll(series(spark, [(i, -float(i)) for i in range(40)]))
+    rows = with_lags(frame, "k", "ts", ["v"], 2, step, segment_seconds=7 * HOUR, piece_rows=5).orderBy("k", "ts").collect()
+    got = [(r.k, r.v, r.v_lag_2) for r in rows]
+    assert got == [(k, s * i, s * (i - 2.0) if i > 1 else None) for k, s in ((None, 1.0), ("a", -1.0)) for i in range(40)]
