@@ -15,14 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import ids_and_texts, in_slices
+from hourloom.llm.common import ids_and_texts, in_slices, stored
 from hourloom.llm.words import WordHashes, hashed, split_words
 
 #: Bound of the sample that is fitted: labelled documents, drawn by the hash of their id.
 SAMPLE = 20_000
-#: Distinct words of one sampled document that the fit sees, drawn by hash; scoring sees all.
-SAMPLE_WORDS = 2_000
 DIMENSIONS = 1 << 18
+#: The last buckets, those of a text's shape.
+SHAPE = 64
 GRADES = 3
 BEGINNING = 4
 #: Marks that may stand around a word, and signs that prose seldom ends a word in.
@@ -50,29 +50,37 @@ def text_features(text: bytes | None, memory: WordHashes, dimensions: int) -> np
     distinct = set(words)
     plain = {w.strip(MARKS).lower() for w in distinct}
     begun = {b"^" + w[:BEGINNING] for w in plain}
-    buckets = hashed([*plain, *begun], memory) % np.uint64(dimensions - 64)
+    buckets = hashed([*plain, *begun], memory) % np.uint64(dimensions - SHAPE)
     bare = sum(not w.strip(MARKS) for w in words) / len(words)
     marked = sum(w[-1:] in SIGNS for w in words) / len(words)
     shape = [int(7.99 * len(distinct) / len(words)), 8 + int(7.99 * bare), 16 + int(7.99 * marked)]
-    return np.concatenate([np.unique(buckets).astype(np.int64), dimensions - 64 + np.array(shape)])
+    return np.concatenate([np.unique(buckets).astype(np.int64), dimensions - SHAPE + np.array(shape)])
 
 
-def evidence(flat: np.ndarray, row_of: np.ndarray, grades: np.ndarray, dimensions: int) -> np.ndarray:
-    """For each bucket the largest log-likelihood ratio of holding it and being of one grade."""
+def evidence(among: np.ndarray, of_grade: np.ndarray) -> np.ndarray:
+    """For each bucket the largest log-likelihood ratio of holding it and being of one grade.
+
+    ``among`` has for each bucket and grade the documents of the grade that hold the bucket,
+    ``of_grade`` those of the grade.
+    """
 
     def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
         return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(expected, 1e-12)), 0)
 
-    n, best = len(grades), np.zeros(dimensions)
-    held = np.bincount(flat, minlength=dimensions)
-    for grade in np.unique(grades):
-        among, of_grade = np.bincount(flat[(grades == grade)[row_of]], minlength=dimensions), (grades == grade).sum()
-        cells = [(among, held, of_grade), (held - among, held, n - of_grade), (of_grade - among, n - held, of_grade)]
-        cells.append((n - held - of_grade + among, n - held, n - of_grade))
+    n, best, held = of_grade.sum(), np.zeros(len(among)), among.sum(1)
+    for grade in np.flatnonzero(of_grade):
+        here, size = among[:, grade], of_grade[grade]
+        cells = [(here, held, size), (held - here, held, n - size), (size - here, n - held, size)]
+        cells.append((n - held - size + here, n - held, n - size))
         best = np.maximum(best, 2 * sum(part(seen, a * (b / n)) for seen, a, b in cells))
     return best
 
 
+def held_by_grade(flat: np.ndarray, grade_of: np.ndarray, dimensions: int, n_grades: int) -> np.ndarray:
+    """For each bucket and grade, how often ``flat`` has the bucket for a document of the grade."""
+    return np.bincount(flat * n_grades + grade_of, minlength=dimensions * n_grades).reshape(dimensions, n_grades)
+
+
 def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, dimensions: int, n_grades: int) -> Model:
     """Weights and thresholds of the cumulative-link model, by adaptive gradient steps.
 
@@ -85,7 +93,8 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, dimensions: int, n_g
     length = np.array([len(r) for r in rows])
     flat = np.concatenate(rows)
     row_of = np.repeat(np.arange(n, dtype=np.int32), length)
-    used = np.flatnonzero(evidence(flat, row_of, grades, dimensions) >= EVIDENCE)
+    among = held_by_grade(flat.astype(np.int64), grades[row_of], dimensions, n_grades)
+    used = np.flatnonzero(evidence(among, np.bincount(grades, minlength=n_grades)) >= EVIDENCE)
     place = np.full(dimensions, -1, np.int32)
     place[used] = np.arange(len(used), dtype=np.int32)
     keep = place[flat] >= 0
@@ -93,7 +102,7 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, dimensions: int, n_g
     starts = np.searchsorted(row_of, np.arange(n + 1))
     share = np.bincount(grades, minlength=n_grades) / n
     emphasis = 1 / np.maximum(share[grades] * (share > 0).sum(), 1e-9)
-    weights, seen, is_word = np.zeros(len(used)), np.full(len(used), 1e-6), used < dimensions - 64
+    weights, seen, is_word = np.zeros(len(used)), np.full(len(used), 1e-6), used < dimensions - SHAPE
     thresholds, moved = np.linspace(-1, 1, n_grades - 1), np.full(n_grades - 1, 1e-6)
     above = (grades[:, None] >= np.arange(1, n_grades)[None, :]).astype(float)
     rng = np.random.default_rng(3)
@@ -123,33 +132,100 @@ def tails(score: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(np.clip(thresholds[None, :] - score[:, None], -50, 50)))
 
 
+def listed(rows: list[np.ndarray]) -> pa.Array:
+    return pa.array([r.astype(np.int32) for r in rows], pa.list_(pa.int32()))
+
+
+def unlisted(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all rows of a list column, and where each row's begin and end."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    edges = column.offsets.to_numpy()
+    return column.flatten().to_numpy(), edges - edges[0]
+
+
 def sample_batches(dimensions: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordHashes()
         for ids, texts, grades in ids_and_texts(batches, "grade"):
             rows = [text_features(t, memory, dimensions) for t in texts]
-            # The words kept are the same in every document: those of smallest hash.
-            few = [r if len(r) <= SAMPLE_WORDS else r[np.argsort(r * 2654435761 % 4294967291)[:SAMPLE_WORDS]] for r in rows]
             # Rows of one id are told apart by their content, for one choice among them.
-            keys = [hashlib.sha1(r.tobytes()).hexdigest() for r in few]
-            columns = [pa.array(ids, pa.int64()), pa.array(keys), pa.array(grades, pa.int32()), pa.array([r.astype(np.int32) for r in few], pa.list_(pa.int32()))]
+            keys = [hashlib.sha1(r.tobytes()).hexdigest() for r in rows]
+            columns = [pa.array(ids, pa.int64()), pa.array(keys), pa.array(grades, pa.int32()), listed(rows)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "grade", "features"])
 
     return run
 
 
+def count_batches(dimensions: int, n_grades: int):
+    """For each bucket and grade, the documents of the task: at most all buckets, once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        among = np.zeros((dimensions, n_grades), np.int64)
+        for batch in in_slices(batches):
+            flat, edges = unlisted(batch.column("features"))
+            grades = np.repeat(batch.column("grade").to_numpy(), np.diff(edges))
+            among += held_by_grade(flat.astype(np.int64), grades, dimensions, n_grades)
+        bucket = np.flatnonzero(among.any(1))
+        for start in range(0, len(bucket), 1 << 14):
+            some = bucket[start : start + (1 << 14)]
+            columns = [pa.array(some, pa.int32()), *(pa.array(among[some, g]) for g in range(n_grades))]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", *(f"g{g}" for g in range(n_grades))])
+
+    return run
+
+
+def telling_batches(of_grade: np.ndarray, dimensions: int):
+    """The buckets that have ``EVIDENCE``, and those of the shape."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            among = np.stack([batch.column(f"g{g}").to_numpy() for g in range(len(of_grade))], axis=1)
+            bucket = batch.column("bucket").to_numpy()
+            tells = (evidence(among, of_grade) >= EVIDENCE) | (bucket >= dimensions - SHAPE)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[tells])], ["bucket"])
+
+    return run
+
+
+def telling(rows: DataFrame, dimensions: int, n_grades: int) -> np.ndarray:
+    """Which buckets the fit needs, as flags; counted over the whole feature sets of ``rows``.
+
+    The counts stay in the cluster; what comes to the driver is at most ``dimensions`` numbers.
+    """
+    of_grade = np.zeros(n_grades, np.int64)
+    for r in rows.groupBy("grade").agg(F.count("*").alias("n")).collect():
+        of_grade[r["grade"]] = r["n"]
+    columns = [f"g{g}" for g in range(n_grades)]
+    counts = rows.select("grade", "features").mapInArrow(count_batches(dimensions, n_grades), ", ".join(["bucket int", *(f"{c} long" for c in columns)]))
+    counts = counts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in columns])
+    flags = np.zeros(dimensions, bool)
+    flags[counts.mapInArrow(telling_batches(of_grade, dimensions), "bucket int").toArrow().column("bucket").to_numpy()] = True
+    return flags
+
+
+def telling_features(flags: np.ndarray):
+    """The rows of the batches with those of their buckets that are flagged."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            flat, edges = unlisted(batch.column("features"))
+            rows = [r[flags[r]] for r in (flat[a:b] for a, b in zip(edges[:-1], edges[1:]))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), listed(rows)], ["doc_id", "grade", "features"])
+
+    return run
+
+
 def fitted(sample: DataFrame, dimensions: int, n_grades: int) -> Model | None:
     """The model of ``sample`` (``doc_id, text, grade``), fitted in one task.
 
-    The sample is bounded by ``SAMPLE`` rows of ``SAMPLE_WORDS`` buckets, 160 MB at most and
-    some 20 MB in practice; the task returns one row of ``dimensions`` weights.
+    The sample is bounded by ``SAMPLE`` rows. Evidence is counted over their whole feature
+    sets first, and the task gets all of each row's buckets that have it: the model is that
+    of the whole sets. It returns one row of ``dimensions`` weights.
     """
 
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by("doc_id")
-        features = table.column("features").combine_chunks()
-        values, edges = features.flatten().to_numpy(), features.offsets.to_numpy()
-        edges = edges - edges[0]
+        values, edges = unlisted(table.column("features"))
         rows = [values[a:b] for a, b in zip(edges[:-1], edges[1:])]
         weights, thresholds = fit_ordinal(rows, table.column("grade").to_numpy().astype(np.int64), dimensions, n_grades)
         return pa.table({"weights": [weights.astype(np.float32).tobytes()], "thresholds": [thresholds.tobytes()]})
@@ -157,7 +233,9 @@ def fitted(sample: DataFrame, dimensions: int, n_grades: int) -> Model | None:
     rows = sample.mapInArrow(sample_batches(dimensions), "doc_id long, key string, grade int, features array<int>")
     # Of rows that repeat an id one is fitted, so the bound holds whatever the table.
     rows = rows.groupBy("doc_id").agg(F.min(F.struct("key", "grade", "features")).alias("row")).select("doc_id", "row.*")
-    model = rows.groupBy(F.lit(0).alias("all")).applyInArrow(fit, "weights binary, thresholds binary").first()
+    rows = stored(rows, "features")
+    few = rows.select("doc_id", "grade", "features").mapInArrow(telling_features(telling(rows, dimensions, n_grades)), "doc_id long, grade int, features array<int>")
+    model = few.groupBy(F.lit(0).alias("all")).applyInArrow(fit, "weights binary, thresholds binary").first()
     return model and (np.frombuffer(model["weights"], np.float32).astype(float), np.frombuffer(model["thresholds"]))
 
 

@@ -210,6 +210,20 @@ def test_classifier_fits_one_row_of_an_id(spark):
     assert all((a == b).all() for a, b in zip(once, often)) and once[0].any()
 
 
+def test_classifier_fits_whole_feature_sets(spark):
+    """Of long documents too: the model is that of all buckets, and shape steps are among them."""
+    filler = " ".join(f"w{k}q{k * 7 % 1009}" for k in range(3000))
+    told = lambda i: " ".join(f"{'fine' if i % 2 else 'b'}{k}" for k in range(40))
+    rows = [(i, f"{filler} {told(i)} {'| ' * (0 if i % 2 else 3000)}", i % 2 * 2) for i in range(60)]
+    memory = quality.WordHashes()
+    sets = [quality.text_features(t.encode(), memory, 1 << 14) for _, t, _ in rows]
+    assert min(map(len, sets)) > 2000
+    weights, thresholds = quality.fit_ordinal(sets, np.array([g for _, _, g in rows]), 1 << 14, 3)
+    model = quality.fitted(spark.createDataFrame(rows, "doc_id long, text string, grade int").repartition(3), 1 << 14, 3)
+    assert (model[0] == weights.astype(np.float32)).all() and (model[1] == thresholds).all()
+    assert model[0][-quality.SHAPE :].any() and np.count_nonzero(model[0]) > 40
+
+
 VECTORS = [(0, [1.0, -2.5]), (50, [0.5, 0.25]), (100, None), (7, [1.0, None]), (8, [float("nan"), 1.0]), (9, [float("inf"), 1.0]), (None, [1.0, 1.0]), (3, [0.5, 0.25]), (4, [0.5, 0.25]), (5, [0.5]), (150, [2.0]), (11, []), (200, []), (12, [1e9, -1e9]), (13, [1e15, 1e15])]
 
 
