@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import chat, fingerprint, line_dedup, mixing, near_dup, packing, quality, substring_dedup, topk, url_filter
+from hourloom.llm import chat, fingerprint, line_dedup, mixing, near_dup, packing, quality
+from hourloom.llm import spelling, substring_dedup, topk, url_filter, warc, whitening
 from hourloom.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -147,6 +148,39 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+WARC_SQL = r"""
+WITH paid AS (
+  SELECT page_id, coalesce(html, '') AS payload FROM pages
+), ranked AS (
+  SELECT page_id, strlen(payload) AS payload_bytes, unhex(sha1(payload))::BIT::VARCHAR AS bits,
+    row_number() OVER (PARTITION BY payload ORDER BY page_id DESC NULLS LAST) AS place,
+    max(page_id) OVER (PARTITION BY payload) AS head
+  FROM paid
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(5),
+    lambda b: substr(bits, 5 * k + b + 1, 1)::INTEGER * (16 // (1 << b))))::INTEGER, 1)), '') AS payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN place > 1 THEN head END AS refers_to
+FROM ranked
+"""
+
+
+@query("op11_warc", WARC_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
+@query("op12_spelling_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The stages live at the top of the repository; they import this subpackage.
