@@ -225,7 +225,8 @@ def near_pairs(words: DataFrame, shortest: int = SHORTEST, longest: int = LONGES
     dictionary = spark.sparkContext.broadcast(gram_dictionary(words, shortest, longest))
     listed = words.select("id", "word").mapInArrow(listed_batches(dictionary, shortest, longest), "key long, id long, open string")
     listed = stored(listed, "listed")
-    lists = listed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    # Stored, so that the join's sides are both plain exchanges and a long list can be split.
+    lists = stored(listed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
     listed = stored(listed.join(lists, "key"), "lists")
 
     short = listed.where(F.col("size") <= longest_list).select("key", "id", "open")
