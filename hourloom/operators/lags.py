@@ -47,8 +47,8 @@ def with_lags(
 
     With ``step_seconds`` the series is known to be a regular grid and a row's place
     follows from its time; a lag that reaches over a hole is null. Without it rows are
-    numbered first, at the price of one more shuffle, slice by slice of
-    ``segment_seconds``: make it shorter for series denser than one row an hour.
+    numbered first, at the price of one more shuffle, in pieces of time of
+    ``segment_seconds`` that are cut finer where rows are dense.
     """
     keys = key_list(key)
     order = Window.partitionBy(*keys, "_piece").orderBy("_place")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import Bucketizer, QuantileDiscretizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +10,8 @@ from pyspark.sql.window import Window
 
 from hourloom.session import stored
 
-SCORE_BUCKETS = 256
+#: Distinct scores of one range, about: what one task accumulates.
+RANGE_SCORES = 65_536
 
 
 def rf_train_score(
@@ -48,9 +48,10 @@ def score(model: RandomForestClassificationModel, df: DataFrame, features: str =
 def _cumulative(df: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score: positives and negatives at it, above it, and in total.
 
-    Rows are counted per score first and the counts stored (an action), so the input
-    is read once. Scores are then cut into buckets by quantile, summed per bucket and
-    accumulated inside each bucket: no task has to walk through all scores.
+    Rows are counted per score first and the counts stored (an action), so the input is
+    read once. A distributed prefix sum follows: the distinct scores are sorted into ranges,
+    as many as they fill, each range is summed, the sums of the ranges above are added up,
+    and each range accumulates its own scores from there.
     """
     counted = (
         df.where(F.col(score).isNotNull())
@@ -61,29 +62,26 @@ def _cumulative(df: DataFrame, score: str, label: str) -> DataFrame:
         )
     )
     points = stored(counted, "scores")
-    if points.isEmpty():
-        bucketed = points.withColumn("_bucket", F.lit(0.0))
-    else:
-        cutter: Bucketizer = QuantileDiscretizer(
-            numBuckets=SCORE_BUCKETS, inputCol="_score", outputCol="_bucket", handleInvalid="keep"
-        ).fit(points)
-        bucketed = cutter.transform(points)
-    # One row per bucket: bounded by SCORE_BUCKETS, whatever the data.
-    above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = -(-points.count() // RANGE_SCORES) or 1
+    # Stored, so that a row's range is what it was when it was dealt.
+    dealt = points.repartitionByRange(ranges, F.desc("_score")) if ranges > 1 else points.coalesce(1)
+    ranged = stored(dealt.withColumn("_range", F.spark_partition_id()), "ranges") if ranges > 1 else dealt.withColumn("_range", F.lit(0))
+    above = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
-    buckets = (
-        bucketed.groupBy("_bucket")
+    # One row per range: RANGE_SCORES times fewer than scores.
+    totals = (
+        ranged.groupBy("_range")
         .agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
         .select(
-            "_bucket",
+            "_range",
             F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_p_above"),
             F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_n_above"),
             F.sum("_p").over(every).alias("all_pos"),
             F.sum("_n").over(every).alias("all_neg"),
         )
     )
-    higher = Window.partitionBy("_bucket").orderBy(F.desc("_score")).rowsBetween(Window.unboundedPreceding, -1)
-    return bucketed.join(F.broadcast(buckets), "_bucket").select(
+    higher = Window.partitionBy("_range").orderBy(F.desc("_score")).rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.join(totals, "_range").select(
         "_score",
         "pos",
         "neg",

@@ -6,29 +6,36 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourloom.functions.predicates import complete_at
 from hourloom.functions.times import epoch_seconds
 from hourloom.operators.frames import Keys, expand_rows, key_list
 from hourloom.operators.segments import HOUR, PIECE_ROWS
 
+#: Types that a hash aggregate can't keep as a result.
+VARIABLE = (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType, T.VarcharType, T.CharType)
+
 
 def complete_span(
     df: DataFrame, key: Keys, ts: str, required: Sequence[str], attrs: Sequence[str] = ()
 ) -> DataFrame:
     """First and last complete row of each series, with the attributes of the first.
 
-    A series without a row in which every required column is present vanishes.
+    A series without a row in which every required column is present vanishes. (key, ts) must
+    be unique, or the pick among rows of the same time is open. All goes by hash aggregates;
+    attributes that are text are looked up at each series' first time.
     """
     keys = key_list(key)
-    aggs = [F.min("_at").alias("lo"), F.max("_at").alias("hi")]
-    if attrs:
-        first = F.min(F.when(F.col("_at").isNotNull(), F.struct("_at", *attrs)))
-        aggs.append(first.alias("_first"))
-    span = df.withColumn("_at", complete_at(ts, required)).groupBy(*keys).agg(*aggs)
-    return span.where(F.col("lo").isNotNull()).select(
-        *keys, "lo", "hi", *[F.col(f"_first.{a}").alias(a) for a in attrs]
-    )
+    complete = df.withColumn("_at", complete_at(ts, required)).where(F.col("_at").isNotNull())
+    span = [F.min("_at").alias("lo"), F.max("_at").alias("hi")]
+    text = [a for a in attrs if isinstance(df.schema[a].dataType, VARIABLE)]
+    spans = complete.groupBy(*keys).agg(*span, *[F.min_by(a, "_at").alias(a) for a in attrs if a not in text])
+    if text:
+        # One struct of the keys and the time, in which null keys are equal.
+        first = complete.select(F.struct(*keys, F.col("_at").alias("lo")).alias("_place"), *text)
+        spans = spans.withColumn("_place", F.struct(*keys, "lo")).join(first.dropDuplicates(["_place"]), "_place")
+    return spans.select(*keys, "lo", "hi", *attrs)
 
 
 def grid_size(step_seconds: int = HOUR):

@@ -4,7 +4,7 @@ A natural spline couples all knots of a series, but the coupling fades: in its
 diagonally dominant system each knot passes on at most half of a change, whatever
 the spacing. A piece of a series solved together with the ``HALO`` knots on each
 side is therefore within 2**-64 of the solution over the whole series, less than a
-double can hold. Pieces are time slices; the halo is found by knot number, so it
+double can hold. Pieces are time slices of bounded rows; the halo is found by knot number, so it
 holds 64 knots also where a column is nearly empty.
 
 Pieces are not handed to Python one by one: a task streams its sorted rows in Arrow
@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from hourloom.operators.frames import Keys, join_on_keys, key_list
-from hourloom.operators.segments import HOUR, PIECE_ROWS, SEGMENT, with_segment
+from hourloom.operators.segments import DENSE_ROWS, HOUR, PIECE_ROWS, SEGMENT, with_segment
 
 HALO = 64
 IS_HALO = "_halo"
@@ -114,33 +114,43 @@ def _seconds(ts: pa.ChunkedArray) -> np.ndarray:
     return (micros - 946684800000000) / 1e6
 
 
-def _piece_numbers(rows: pa.Table, keys: Sequence[str]) -> np.ndarray:
-    """0, 1, ... for each run of rows with the same key and segment."""
+def _starts(rows: pa.Table, keys: Sequence[str]) -> np.ndarray:
+    """Whether each row but the first has another key or segment than the one before."""
     new = np.zeros(rows.num_rows, bool)
     for k in (*keys, SEGMENT):
         codes = pc.dictionary_encode(rows[k].combine_chunks(), null_encoding="encode").indices.to_numpy()
         new[1:] |= codes[1:] != codes[:-1]
-    return np.cumsum(new)
+    return new
 
 
 def _by_whole_pieces(keys: Sequence[str], solve: Callable[[pa.Table, np.ndarray], pa.Table]):
-    """Run ``solve`` on runs of complete pieces; the last piece of a batch waits for its rest."""
+    """Run ``solve`` on runs of complete pieces; the last piece of a batch waits for its rest.
+
+    Each batch is looked at once; what waits is only known by its last row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting = None
+        waiting: list[tuple[pa.Table, np.ndarray]] = []
+
+        def solved(parts: list[tuple[pa.Table, np.ndarray]]) -> list[pa.RecordBatch]:
+            rows = pa.concat_tables([p[0] for p in parts])
+            return solve(rows, np.cumsum(np.concatenate([p[1] for p in parts]))).to_batches()
+
         for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            if waiting is not None:
-                rows = pa.concat_tables([waiting, rows])
-            if not rows.num_rows:
+            if not batch.num_rows:
                 continue
-            piece = _piece_numbers(rows, keys)
-            cut = int(np.searchsorted(piece, piece[-1]))
-            if cut:
-                yield from solve(rows.slice(0, cut), piece[:cut]).to_batches()
-            waiting = rows.slice(cut)
-        if waiting is not None and waiting.num_rows:
-            yield from solve(waiting, _piece_numbers(waiting, keys)).to_batches()
+            rows = pa.Table.from_batches([batch])
+            new = _starts(rows, keys)
+            if waiting:
+                edge = pa.concat_tables([waiting[-1][0].slice(waiting[-1][0].num_rows - 1), rows.slice(0, 1)])
+                new[0] = _starts(edge, keys)[1]
+            cut = int(np.flatnonzero(new)[-1]) if new.any() else 0
+            if new.any():
+                yield from solved([*waiting, (rows.slice(0, cut), new[:cut])])
+                waiting = []
+            waiting.append((rows.slice(cut), new[cut:]))
+        if waiting:
+            yield from solved(waiting)
 
     return run
 
@@ -200,14 +210,16 @@ def _halo_knots(rows: DataFrame, keys: list[str], ts: str, cols: Sequence[str])
     return met.select(*keys, SEGMENT, F.col("_point._x").alias(ts), *values)
 
 
-def _prepared(df: DataFrame, keys: list[str], ts: str, cols: Sequence[str], segment_seconds: int) -> DataFrame:
+def _prepared(
+    df: DataFrame, keys: list[str], ts: str, cols: Sequence[str], segment_seconds: int, most_rows: int
+) -> DataFrame:
     """Rows and halo knots in one frame, each segment whole and in time order.
 
     Values are doubles without NaN (a NaN is no measurement).
     """
     numbers = {c: F.col(c).cast("double") for c in cols}
     clean = df.withColumns({c: F.when(~F.isnan(v), v) for c, v in numbers.items()})
-    rows = with_segment(clean, ts, segment_seconds)
+    rows, _ = with_segment(clean, keys, ts, segment_seconds, most_rows)
     halo = _halo_knots(rows, keys, ts, cols).withColumn(IS_HALO, F.lit(True))
     both = rows.withColumn(IS_HALO, F.lit(False)).unionByName(halo, allowMissingColumns=True)
     return both.repartition(*keys, SEGMENT).sortWithinPartitions(*keys, SEGMENT, ts)
@@ -220,13 +232,15 @@ def spline_fill(
     cols: Sequence[str],
     on_few_knots: str = "linear",
     segment_seconds: int = PIECE_ROWS * HOUR,
+    most_rows: int = DENSE_ROWS,
 ) -> DataFrame:
     """Fill the nulls of each column from the spline through its non-null points.
 
     Non-null values stay as they are. A null outside the known points raises, and a
     column without any known point stays null. A spline takes three knots: with
     fewer, ``on_few_knots`` is ``linear`` (two knots make a line) or ``error``.
-    ``df`` must be unique on (key, ts); ``segment_seconds`` sets the piece length.
+    ``df`` must be unique on (key, ts); ``segment_seconds`` sets the piece length, and pieces
+    of more than ``most_rows`` rows are cut finer.
     """
     if on_few_knots not in ("linear", "error"):
         raise ValueError("on_few_knots is 'linear' or 'error'")
@@ -254,7 +268,7 @@ def spline_fill(
     filled = T.StructType(
         [T.StructField(f.name, T.DoubleType()) if f.name in cols else f for f in df.schema.fields]
     )
-    prepared = _prepared(df, keys, ts, cols, segment_seconds)
+    prepared = _prepared(df, keys, ts, cols, segment_seconds, most_rows)
     return prepared.mapInArrow(_by_whole_pieces(keys, fill), filled)
 
 
@@ -265,6 +279,7 @@ def spline_coefficients(
     col: str,
     unit_seconds: int = HOUR,
     segment_seconds: int = PIECE_ROWS * HOUR,
+    most_rows: int = DENSE_ROWS,
 ) -> DataFrame:
     """The cubics of the spline: one row per knot but the last of each series.
 
@@ -287,5 +302,5 @@ def spline_coefficients(
         return result
 
     knots = df.select(*keys, ts, col).where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
-    prepared = _prepared(knots, keys, ts, [col], segment_seconds)
+    prepared = _prepared(knots, keys, ts, [col], segment_seconds, most_rows)
     return prepared.mapInArrow(_by_whole_pieces(keys, coefficients), out)

@@ -19,13 +19,13 @@ from hourloom.plans.registry import cents, events, plain, query, table
 
 @query(
     "right_join",
-    """SELECT c_custkey, o_orderkey FROM (SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000)
-       RIGHT JOIN customer ON o_custkey = c_custkey"""
+    "SELECT d.doc_id, quality, toxic FROM labels l RIGHT JOIN documents d ON l.doc_id = d.doc_id",
 )
-def orders_of_customers(spark, sf):
-    orders = table(spark, sf, "orders").where("o_orderstatus = 'F' AND o_totalprice > 300000")
-    customer = table(spark, sf, "customer")
-    return right_join(orders, customer, "o_custkey", "c_custkey").select("c_custkey", "o_orderkey")
+def labels_of_documents(spark, sf):
+    """Every document with its labels; most have none."""
+    labels = table(spark, sf, "labels").withColumnRenamed("doc_id", "labelled")
+    joined = right_join(labels, table(spark, sf, "documents").select("doc_id"), "labelled", "doc_id")
+    return joined.select("doc_id", "quality", "toxic")
 
 
 @query(
@@ -118,7 +118,7 @@ def hourly_means(spark, sf):
 def hourly_means_with_attributes(spark, sf):
     """Means with the user and the text of the earliest reading."""
     whole = events(spark, sf).withColumn("value", cents())
-    means = A.hourly_mean(whole, "event_type", "ts", ["value"], ["user_id", "props"])
+    means = A.hourly_mean(whole, "event_type", "ts", ["value"], ["user_id", "props"], few_attributes=True)
     return means.withColumns({"hour": plain("hour"), "value": F.round("value", 4)})
 
 

@@ -83,7 +83,8 @@ def _type_hours(spark, sf):
 
 
 def _type_grid(spark, sf):
-    return R.resample(_type_hours(spark, sf), "event_type", "hour", ["value"], ["value"])
+    # Stored: the spline reads its input several times.
+    return stored(R.resample(_type_hours(spark, sf), "event_type", "hour", ["value"], ["value"]), "grid")
 
 
 # Natural cubic spline through the hourly means of each event type, solved forwards

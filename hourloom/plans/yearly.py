@@ -16,11 +16,11 @@ from hourloom import schemas as S
 from hourloom.functions.arrays import concat_features, pack_features
 from hourloom.functions.casts import lenient_double, lenient_int, null_default
 from hourloom.functions.cleaning import clean_measurements, station_rules
-from hourloom.functions.predicates import eligible, threshold_label
+from hourloom.functions.predicates import all_present, eligible, threshold_label
 from hourloom.functions.text import concat_parts
 from hourloom.functions.times import arrival_hour, local_to_utc, parse_local, utc_hour
 from hourloom.operators.aggregates import hourly_mean, top1_per_group
-from hourloom.operators.frames import drop_any_null, prefix_columns, required_not_null
+from hourloom.operators.frames import prefix_columns, required_not_null
 from hourloom.operators.joins import bucket_join, suffix_key_join, two_role_dim_join
 from hourloom.operators.lags import lag_stack
 from hourloom.operators.model import rf_train_score, roc_and_auc
@@ -79,7 +79,7 @@ def hourly_readings(raw: DataFrame, stations: DataFrame, trace_value: float | No
         concat_parts([lenient_double("LATITUDE"), lenient_double("LONGITUDE")], ", ").alias("STATION_COORDINATES"),
         *S.MEASUREMENTS,
     )
-    return hourly_mean(typed, STATION, "DATE", S.MEASUREMENTS, S.READING_ATTRS, HOUR_COL)
+    return hourly_mean(typed, STATION, "DATE", S.MEASUREMENTS, S.READING_ATTRS, HOUR_COL, few_attributes=True)
 
 
 def regular_readings(hourly: DataFrame) -> DataFrame:
@@ -91,9 +91,14 @@ def filled_readings(regular: DataFrame) -> DataFrame:
 
 
 def station_features(filled: DataFrame) -> DataFrame:
-    """The nine measurements of an hour and of the twelve before it, in one array."""
-    packed = filled.select(HOUR_COL, STATION, pack_features(S.MEASUREMENTS).alias("now"))
-    return lag_stack(drop_any_null(packed), STATION, HOUR_COL, "now", 12, "features", HOUR)
+    """The nine measurements of an hour and of the twelve before it, in one array.
+
+    A missing measurement is an error: the hour, and the twelve after it, would be lost.
+    """
+    missing = F.raise_error(F.concat(F.lit("measurement missing at station "), STATION, F.lit(", "), F.col(HOUR_COL).cast("string")))
+    now = F.when(all_present(S.MEASUREMENTS), pack_features(S.MEASUREMENTS)).otherwise(missing)
+    packed = filled.select(HOUR_COL, STATION, now.alias("now"))
+    return lag_stack(packed, STATION, HOUR_COL, "now", 12, "features", HOUR)
 
 
 def in_role(features: DataFrame, prefix: str, name: str) -> DataFrame:
@@ -155,8 +160,7 @@ def run_year(
     tables: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame, schema) -> DataFrame:
-        declared = df.select(*[c for c in schema.names if c in df.columns])
-        write_year(declared, paths.table(name), schema, year, fmt)
+        write_year(df, paths.table(name), schema, year, fmt)
         tables[name] = read_year(spark, paths.table(name), schema, year, fmt)
         return tables[name]
 

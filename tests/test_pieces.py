@@ -1,0 +1,138 @@
+"""Pieces by rows, first attributes by number, and prefix sums over ranges."""
+
+import random
+from datetime import datetime, timedelta
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from hourloom.operators import aggregates as A
+from hourloom.operators import firsts, model, resample
+from hourloom.operators.lags import with_lags
+from hourloom.operators.segments import HOUR, SEGMENT, with_segment, with_series_index
+from hourloom.operators.spline import spline_fill
+from hourloom.session import stored
+
+START = datetime(2024, 1, 1)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def per_second(spark, n):
+    return spark.range(n).select(F.lit("dense").alias("k"), F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("ts"), F.col("id").cast("double").alias("v"))
+
+
+def test_a_long_dense_series_is_cut_by_rows(spark):
+    """Ten million readings of one series, one a second, and a sparse series beside it."""
+    sparse = spark.range(500).select(F.lit("sparse").alias("k"), F.timestamp_seconds(F.col("id") * 86_400).alias("ts"), F.lit(0.0).alias("v"))
+    rows = stored(per_second(spark, 10_000_000).unionAll(sparse), "readings")
+    cut, counts = with_segment(rows, ["k"], "ts", 8192 * HOUR)
+    sizes = {(r.k, r[SEGMENT]): r["_count"] for r in counts.collect()}
+    assert max(sizes.values()) <= 4 * 8192 and sum(sizes.values()) == 10_000_500
+    assert len([k for k in sizes if k[0] == "sparse"]) == 2
+    found = cut.groupBy("k", SEGMENT).agg(F.count("*").alias("n"), F.min("ts").alias("lo"), F.max("ts").alias("hi")).collect()
+    assert {(r.k, r[SEGMENT]): r.n for r in found} == sizes
+    ordered = sorted(found, key=lambda r: (r.k, r[SEGMENT]))
+    assert all(a.hi < b.lo for a, b in zip(ordered, ordered[1:]) if a.k == b.k)
+
+
+def bursts(seed=3):
+    """Rows of a series whose density changes: pauses of days, bursts of microseconds."""
+    pick, at, out = random.Random(seed), START, []
+    for i in range(1500):
+        at += timedelta(microseconds=pick.choice([1, 1, 1, 50, 10**6, 10**9, 86_400 * 10**6]))
+        out.append((None if i % 2 else "a", at, float(i)))
+    return out
+
+
+@pytest.mark.parametrize("most", [4, 100, 10_000])
+def test_numbers_and_lags_follow_the_rows(spark, most):
+    rows = bursts() + [("a", None, 9.0)]
+    frame = spark.createDataFrame(rows, "k string, ts timestamp, v double").repartition(5)
+    _, counts = with_segment(frame, ["k"], "ts", 72 * HOUR, most)
+    assert max(r["_count"] for r in counts.collect()) <= most
+    got = with_series_index(frame, ["k"], "ts", "n", 72 * HOUR, most).collect()
+    assert all(r.n == i for k in ("a", None) for i, r in enumerate(sorted((x for x in got if x.k == k), key=lambda x: x.ts)))
+    assert len(got) == 1500
+    lagged = {(r.k, r.ts): r.v_lag_1 for r in with_lags(frame, "k", "ts", ["v"], 1, segment_seconds=72 * HOUR, piece_rows=50).collect()}
+    by_time = sorted(bursts(), key=lambda r: r[1])
+    for k in ("a", None):
+        mine = [r for r in by_time if r[0] == k]
+        assert all(lagged[k, b[1]] == a[2] for a, b in zip(mine, mine[1:]))
+
+
+def test_one_instant_is_not_cut_further(spark):
+    frame = spark.createDataFrame([("a", START, float(i)) for i in range(50)], "k string, ts timestamp, v double")
+    assert [r["_count"] for r in with_segment(frame, ["k"], "ts", HOUR, 4)[1].collect()] == [50]
+    assert len(A.collect_sorted(frame, "k", "ts", "v", most_rows=4).first().ys) == 50
+
+
+def test_spline_over_dense_pieces(spark):
+    rows = [("a", START + timedelta(seconds=i), float(np.sin(i / 9)) if i % 3 else None) for i in range(1, 2000)]
+    frame = spark.createDataFrame(rows, "k string, ts timestamp, v double").repartition(4)
+    whole = [r.v for r in spline_fill(frame, "k", "ts", ["v"]).orderBy("ts").collect()]
+    cut = [r.v for r in spline_fill(frame, "k", "ts", ["v"], most_rows=200).orderBy("ts").collect()]
+    assert np.allclose(whole, cut, rtol=0, atol=1e-12) and None not in whole
+
+
+def test_spline_of_a_piece_over_many_batches(spark):
+    rows = [(k, START + timedelta(hours=i), float(i * i % 17) if i % 4 else None) for k in ("a", "b", None) for i in range(1, 400)]
+    frame = spark.createDataFrame(rows, "k string, ts timestamp, v double")
+    want = spline_fill(frame, "k", "ts", ["v"]).orderBy("k", "ts").collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert spline_fill(frame, "k", "ts", ["v"]).orderBy("k", "ts").collect() == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+READINGS = [("a" if i % 3 else None, START + timedelta(minutes=7 * (i % 40)), None if i % 5 == 0 else float(i), (None, "x", "y")[i % 7 % 3], i % 4) for i in range(300)]
+
+
+def test_first_attributes_without_sorting(spark, monkeypatch):
+    readings = [*READINGS, ("b", None, 1.0, "x", 1), ("b", None, 2.0, None, 2), ("c", START, None, None, None)]
+    frame = spark.createDataFrame(readings, "k string, ts timestamp, v double, name string, number int").repartition(3)
+    mean = lambda few: A.hourly_mean(frame, "k", "ts", ["v"], ["name", "number"], few_attributes=few)
+    by_hash, by_sort = mean(True), mean(False)
+    assert by_hash.columns == by_sort.columns
+    assert sorted(by_hash.collect(), key=str) == sorted(by_sort.collect(), key=str)
+    assert "SortAggregate" not in plan_of(by_hash) and "HashAggregate" in plan_of(by_hash) and "SortAggregate" in plan_of(by_sort)
+    monkeypatch.setattr(A, "attribute_ids", lambda df, attrs: firsts.attribute_ids(df, attrs, 2))
+    assert sorted(mean(True).collect(), key=str) == sorted(by_sort.collect(), key=str)
+
+
+def test_spans_without_sorting(spark):
+    rows = [(k, START + timedelta(hours=i), None if i < 2 else 1.0, f"n{i}") for k in ("a", None) for i in range(9)] + [("none", START, None, "n")]
+    frame = spark.createDataFrame(rows, "k string, ts timestamp, v double, name string")
+    span = resample.complete_span(frame, "k", "ts", ["v"], ["name", "v"])
+    want = [(k, START + timedelta(hours=2), START + timedelta(hours=8), "n2", 1.0) for k in (None, "a")]
+    assert sorted(map(tuple, span.collect()), key=str) == sorted(want, key=str)
+    numbers = resample.complete_span(frame, "k", "ts", ["v"], ["v"])
+    assert "SortAggregate" not in plan_of(numbers)
+
+
+@pytest.mark.parametrize("size", [7, 100_000])
+def test_curve_over_ranges(spark, monkeypatch, size):
+    monkeypatch.setattr(model, "RANGE_SCORES", size)
+    pick = random.Random(1)
+    rows = [(pick.choice([0.0, 0.5, pick.random(), float("nan")]), int(pick.random() < 0.4)) for _ in range(600)] + [(None, 1)]
+    scored = spark.createDataFrame(rows, "score double, label int").repartition(4)
+    curve, area = model.roc_and_auc(scored, "score", "label")
+    known = [(float("inf") if np.isnan(s) else s, y) for s, y in rows if s is not None]
+    pos, neg = sum(y for _, y in known), sum(1 - y for _, y in known)
+    want = [(0.0, 0.0), (1.0, 1.0)]
+    for cut in {s for s, _ in known}:
+        want.append((sum(s >= cut and not y for s, y in known) / neg, sum(s >= cut and y for s, y in known) / pos))
+    assert np.allclose(sorted(map(tuple, curve.collect())), sorted(want))
+    pairs = sum((a > b) + (a == b) / 2 for a, y in known if y for b, z in known if not z)
+    assert np.isclose(area.first()[0], pairs / (pos * neg))
+
+
+def test_empty_frames(spark):
+    frame = spark.createDataFrame([], "k string, ts timestamp, v double, name string")
+    assert A.hourly_mean(frame, "k", "ts", ["v"], ["name"], few_attributes=True).count() == 0
+    assert with_series_index(frame, ["k"], "ts", "n", HOUR).count() == 0
+    assert resample.complete_span(frame, "k", "ts", ["v"], ["name"]).count() == 0

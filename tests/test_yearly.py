@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from hourloom import schemas as S
+from hourloom.plans import yearly
 from hourloom.plans.yearly import Paths, flight_hours, run_year
 from hourloom.sources.raw import archive_records, csv_scan, station_map
 from hourloom.sources.tables import read_year
@@ -232,3 +233,13 @@ def test_small_dimension_is_broadcast(spark, job):
     plan = flight_hours(raw, station_map(spark, paths.station_map))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_missing_measurement_is_an_error(spark):
+    """Not dropped: the hour and the twelve after it would be lost without a word."""
+    values = dict.fromkeys(S.MEASUREMENTS, 1.0)
+    rows = [(START + timedelta(hours=i), "w", *(values | ({S.MEASUREMENTS[0]: None} if i == 3 else {})).values()) for i in range(20)]
+    schema = f"{yearly.HOUR_COL} timestamp, {yearly.STATION} string, " + ", ".join(f"{m} double" for m in S.MEASUREMENTS)
+    with pytest.raises(Exception, match="measurement missing at station w"):
+        yearly.station_features(spark.createDataFrame(rows, schema)).collect()
+    assert yearly.station_features(spark.createDataFrame(rows, schema).na.fill(1.0)).count() == 8
