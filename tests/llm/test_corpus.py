@@ -67,9 +67,7 @@ def test_filling_by_hand(sizes):
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def check_pack(rows, texts, tokenizer):
@@ -112,6 +110,35 @@ def test_ids_are_the_tokenizers(tokenizer, text):
     assert ids == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+ADDED = ["<|endoftext|>", "a<|endoftext|>b", " <|endoftext|>  x", "<|endoftext|><|endoftext|>\n\n<|endoftext", "<|endoftext|>'s ok"]
+
+
+def test_added_tokens_are_the_tokenizers(spark, tokenizer):
+    memory, added = packing.chunk_ids(packing.vocabulary_path()), packing.added_tokens()
+    for text in ADDED:
+        assert np.frombuffer(memory.of_document(text, added), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    rows = [(k, t, "en", "a", 1) for k, t in enumerate(ADDED)]
+    check_pack(packing.pack(spark.createDataFrame(rows, brute.SCHEMA)).collect(), [r[:2] for r in rows], tokenizer)
+    plain = packing.pack(spark.createDataFrame(rows, brute.SCHEMA), added={}).collect()
+    assert all(r.doc_tokens > 3 for r in plain)
+
+
+def test_memory_keeps_two_generations(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    memory = packing.ChunkIds(packing.vocabulary_path())
+    text = " ".join(f"w{k % 7}" for k in range(50))
+    assert memory.of_text(text) == memory.encoded(text) and len(memory) <= 3 and len(memory.older) <= 3
+
+
+def test_equal_pieces_are_dealt_to_many_shards(spark, tokenizer):
+    rows = [(5, "same words again", "en", "a", 1)] * 600 + [(None, "no id", "en", "a", 1)] * 300 + [(k, f"own {k}", "en", "a", 1) for k in range(100, 200)]
+    frame = spark.createDataFrame(rows, brute.SCHEMA)
+    check_pack(packing.pack(frame).collect(), [r[:2] for r in rows], tokenizer)
+    pieces = packing.stored(spark.range(20_000).selectExpr("5L AS doc_id", "0L AS start", "9L AS ids_crc32"))
+    sizes = [r["count"] for r in packing.shard_numbers(pieces, 10).groupBy("shard").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 2400
+
+
 def test_best_fit_takes_the_tightest_window():
     window, offset = packing.best_fit(np.array([5, 8, 3, 2, 2]), 10)
     assert window.tolist()[:3] == [1, 0, 1] and offset.tolist() == [0, 0, 5, 8, 8]
