@@ -8,8 +8,8 @@
    there. Large meetings are cut into chunks.
 3. In a meeting the windows that recur are confirmed. Of a meeting in one chunk that is done
    there; of one in several, the chunks' windows are counted together first.
-4. Each chunk compiles its recurring windows, word by word, to an Aho-Corasick automaton, and
-   streams its documents through it for every occurrence.
+4. Each chunk compiles one word sequence of each recurring window to an Aho-Corasick
+   automaton, and streams its documents through it: it alone finds the occurrences.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from hourloom.llm.common import ids_and_texts, small, stored
 from hourloom.llm.words import WordHashes, gram_hashes, hashed, split_words, winnowed
+from hourloom.operators.frames import expand_rows
 
 WINDOW = 13
 GRAM = 7
@@ -93,55 +94,51 @@ def runs(starts: np.ndarray, ends: np.ndarray, length: int) -> list[tuple[int, i
     return out
 
 
-def local_windows(texts: list[bytes], ids: np.ndarray, window: int):
-    """Word hashes, and window hashes with the document they are of, of the rows of a chunk."""
-    memory = WordHashes()
-    words = [hashed(split_words(t), memory) for t in texts]
-    windows = [gram_hashes(w, window) for w in words]
-    rows = np.repeat(np.arange(len(texts)), [len(w) for w in windows])
-    flat = np.concatenate(windows) if windows else np.zeros(0, np.uint64)
-    return words, windows, flat, ids[rows]
+class Chunk:
+    """The words of a chunk's rows, its distinct windows, and the least and most document of each."""
 
-
-def least_and_most(flat: np.ndarray, owners: np.ndarray):
-    """Distinct window hashes, and the smallest and largest document of each."""
-    values, place = np.unique(flat, return_inverse=True)
-    low, high = np.full(len(values), np.iinfo(np.int64).max), np.full(len(values), np.iinfo(np.int64).min)
-    np.minimum.at(low, place, owners)
-    np.maximum.at(high, place, owners)
-    return values, low, high
+    def __init__(self, table: pa.Table, window: int):
+        memory = WordHashes()
+        texts = table.column("text").cast(pa.binary()).to_pylist() if table.num_rows else []
+        self.ids = table.column("doc_id").to_numpy() if table.num_rows else np.zeros(0, np.int64)
+        self.words = [hashed(split_words(t), memory) for t in texts]
+        found = [gram_hashes(w, window) for w in self.words]
+        counts = np.array([len(f) for f in found], np.int64)
+        flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        # Sorted by window, the rows of each one lie together; ``first`` is one place of each.
+        order = np.argsort(flat, kind="stable")
+        ordered = flat[order]
+        begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(flat) else np.zeros(0, np.int64)
+        self.values, self.first = ordered[begin], order[begin]
+        owners = np.repeat(self.ids, counts)[order]
+        self.low = np.minimum.reduceat(owners, begin) if len(begin) else owners
+        self.high = np.maximum.reduceat(owners, begin) if len(begin) else owners
+        self.base = np.concatenate([[0], np.cumsum(counts)])
+
+    def sequence(self, at: int, window: int) -> np.ndarray:
+        """The words of the window at a flat place."""
+        row = int(np.searchsorted(self.base, at, side="right")) - 1
+        start = at - int(self.base[row])
+        return self.words[row][start : start + window]
 
 
 def chunk_windows(window: int):
-    """Windows of one of several chunks of a meeting; of a meeting in one chunk none."""
+    """Windows of one of several chunks of a meeting."""
 
     def run(table: pa.Table) -> pa.Table:
-        names = ("meeting", "window", "low", "high")
-        if table.column("chunks")[0].as_py() == 1:
-            return pa.table({n: pa.array([], pa.int64()) for n in names})
-        texts = table.column("text").cast(pa.binary()).to_pylist()
-        _, _, flat, owners = local_windows(texts, table.column("doc_id").to_numpy(), window)
-        values, low, high = least_and_most(flat, owners)
-        meeting = np.full(len(values), table.column("meeting")[0].as_py())
-        return pa.table(dict(zip(names, (meeting, values.view(np.int64), low, high))))
+        chunk = Chunk(table, window)
+        meeting = np.full(len(chunk.values), table.column("meeting")[0].as_py())
+        columns = (meeting, chunk.values.view(np.int64), chunk.low, chunk.high)
+        return pa.table(dict(zip(("meeting", "window", "low", "high"), columns)))
 
     return run
 
 
-def compiled(sequences: set[str]) -> ahocorasick.Automaton:
-    """The automaton of word sequences, one character per word."""
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    for sequence in sequences:
-        automaton.add_word(sequence)
-    automaton.make_automaton()
-    return automaton
-
-
 def as_characters(words: np.ndarray, values: np.ndarray) -> str:
     """Each word as the character of its number among ``values``; of others, character 0.
 
     Surrogates are left out. Beyond ``CHARACTERS`` values two words may share a character; a
-    match is therefore held against the window's hash as well.
+    match is then held against the words themselves.
     """
     place = np.searchsorted(values, words)
     place[place == len(values)] = 0
@@ -150,38 +147,54 @@ def as_characters(words: np.ndarray, values: np.ndarray) -> str:
     return numbers.astype("<u4").tobytes().decode("utf-32-le")
 
 
+def compiled(sequences: list[np.ndarray], owners: list[int], vocabulary: np.ndarray) -> ahocorasick.Automaton:
+    """The automaton of word sequences, one character per word; each with its smallest document."""
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
+    for sequence, owner in zip(sequences, owners):
+        key = as_characters(sequence, vocabulary)
+        automaton.add_word(key, [*automaton.get(key, []), (owner, sequence)])
+    automaton.make_automaton()
+    return automaton
+
+
 def covered_spans(window: int):
-    """Spans of words of one chunk's documents that windows from smaller documents cover."""
+    """Spans of words of one chunk's documents that windows from smaller documents cover.
+
+    The windows that recur are confirmed first, and one word sequence of each is compiled; where
+    they occur, and so which words go, is found by the automaton alone.
+    """
 
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
-        ids = docs.column("doc_id").to_numpy() if docs.num_rows else np.zeros(0, np.int64)
-        texts = docs.column("text").cast(pa.binary()).to_pylist() if docs.num_rows else []
-        words, windows, flat, owners = local_windows(texts, ids, window)
-        values, low, high = least_and_most(flat, owners)
-        recurring = dict(zip(values[low < high].tolist(), low[low < high].tolist()))
+        chunk = Chunk(docs, window)
+        low, recurs = chunk.low.copy(), chunk.low < chunk.high
         if known.num_rows:
-            there = known.column("window").to_numpy().view(np.uint64)
-            here = np.isin(there, values)
-            for v, f in zip(there[here].tolist(), known.column("low").to_numpy()[here].tolist()):
-                recurring[v] = min(f, recurring.get(v, f))
+            # Windows that recur in other chunks of the meeting.
+            there, least = known.column("window").to_numpy().view(np.uint64), known.column("low").to_numpy()
+            at = np.minimum(np.searchsorted(chunk.values, there), max(0, len(chunk.values) - 1))
+            here = chunk.values[at] == there if len(chunk.values) else np.zeros(len(there), bool)
+            np.minimum.at(low, at[here], least[here])
+            recurs[at[here]] = True
         spans = []
-        if recurring:
-            hits = np.array(sorted(recurring), np.uint64)
-            starts = [np.flatnonzero(np.isin(own, hits)) for own in windows]
-            used = [w[(s[:, None] + np.arange(window)).ravel()] for w, s in zip(words, starts)]
-            vocabulary = np.unique(np.concatenate(used))
-            strings = [as_characters(w, vocabulary) for w in words]
-            automaton = compiled({text[i : i + window] for text, at in zip(strings, starts) for i in at.tolist()})
+        if recurs.any():
+            sequences = [chunk.sequence(at, window) for at in chunk.first[recurs].tolist()]
+            vocabulary = np.unique(np.concatenate(sequences))
+            automaton = compiled(sequences, low[recurs].tolist(), vocabulary)
+            exact = len(vocabulary) <= CHARACTERS
             starting = (docs.column(c).to_pylist() for c in ("version", "start"))
-            for doc_id, version, base, string, own in zip(ids.tolist(), *starting, strings, windows):
+            for doc_id, version, base, words in zip(chunk.ids.tolist(), *starting, chunk.words):
                 open_at = end = -1
-                for last, _ in automaton.iter(string):
-                    if recurring.get(int(own[last - window + 1]), doc_id) >= doc_id:
+                for last, found in automaton.iter(as_characters(words, vocabulary)):
+                    begin = last - window + 1
+                    if exact:
+                        owner = found[0][0]
+                    else:
+                        owner = min((o for o, s in found if (s == words[begin : last + 1]).all()), default=doc_id)
+                    if owner >= doc_id:
                         continue
-                    if last - window + 1 > end:
+                    if begin > end:
                         if end >= 0:
                             spans.append((doc_id, version, base + open_at, base + end))
-                        open_at = last - window + 1
+                        open_at = begin
                     end = last + 1
                 if end >= 0:
                     spans.append((doc_id, version, base + open_at, base + end))
@@ -191,11 +204,12 @@ def covered_spans(window: int):
     return run
 
 
-def cut_batches(window: int):
-    """The documents' words without those in their spans; of copies, without all."""
+def cut_batches(window: int, *others: str):
+    """The documents' words without those in their spans; of copies, without all. Columns
+    ``others`` of longs come along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts, versions, spans in ids_and_texts(batches, "version", "spans"):
+        for ids, texts, versions, spans, *rest in ids_and_texts(batches, "version", "spans", *others):
             n_words, n_removed, kept_text = [], [], []
             for text, version, cuts in zip(texts, versions, spans):
                 # A whole copy has a span that ends nowhere.
@@ -216,7 +230,8 @@ def cut_batches(window: int):
                 kept_text.append(b" ".join(kept))
             columns = [pa.array(ids, pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
             columns.append(pa.array([hashlib.sha256(t).hexdigest() for t in kept_text]))
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(kept_text, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
+            columns += [pa.array(kept_text, pa.binary()).cast(pa.string()), *[pa.array(r, pa.int64()) for r in rest]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept", *others])
 
     return run
 
@@ -229,14 +244,24 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     \\t to \\r; kept words are joined by one space. Windows are judged on the input.
 
     A null text has no words. A text that a smaller id has as it is goes whole (of fewer words
-    than a window: stays), without being searched. Rows that repeat an id are versions of one
-    document, which don't remove each other's words. Rows without an id take no part and stay.
-    Other columns are ignored; an empty table gives an empty one. Windows are found by 64-bit
-    hashes and matched word by word through 64-bit word hashes.
+    than a window: stays), without being searched. Rows that repeat id and text are judged once
+    and come out as often as they are there. Other rows of one id are versions of one document,
+    which don't remove each other's words. Rows without an id take no part and stay. Other
+    columns are ignored; an empty table gives an empty one. Windows are confirmed by 64-bit
+    hashes and located word by word through 64-bit word hashes.
     """
     every = docs.select("doc_id", "text").withColumn("version", F.xxhash64("text"))
-    texts = every.where("doc_id IS NOT NULL")
-    known = stored(texts.select("doc_id", "version", F.xxhash64(F.lit(1), "text").alias("check")), "texts")
+    place, check = ["doc_id", "version", "check"], F.xxhash64(F.lit(1), "text").alias("check")
+    known = stored(every.where("doc_id IS NOT NULL").select("doc_id", "version", check), "texts")
+    repeated = stored(known.groupBy(*place).agg(F.count("*").alias("copies")).where("copies > 1"), "repeated")
+    columns = ["doc_id", "text", "version"]
+    if not repeated.isEmpty():
+        # Rows that repeat are judged once, and what they come to is repeated at the end.
+        tagged = every.select("*", check).join(small(repeated), place, "left")
+        once = tagged.where("copies IS NOT NULL").dropDuplicates(place)
+        every = tagged.where("copies IS NULL").unionByName(once).drop("check")
+        columns.append("copies")
+    texts = every.where("doc_id IS NOT NULL").select(*columns)
     groups = known.groupBy("version", "check").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
     copies = known.join(groups, ["version", "check"]).where(F.col("doc_id") > F.col("first")).select("doc_id", "version").distinct()
     copies = stored(copies, "copies")
@@ -255,11 +280,12 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     # The documents are dealt by id once, for the words around their grams and for the cut; both
     # joins read the same exchange as long as nothing else filters one of them. A version that is
     # a whole copy may come along here: its windows are those of the smaller id it copies.
-    segments = texts.join(places, "doc_id").select("doc_id", "text", "version", "places")
-    segments = segments.mapInArrow(segment_batches(window, gram), SEGMENT)
+    segments = texts.join(places, "doc_id").select(*columns, "places")
+    segments = stored(segments.mapInArrow(segment_batches(window, gram), SEGMENT), "segments")
     at = ["meeting", "chunk"]
     counted = (
-        segments.groupBy(*at)
+        segments.where("chunks > 1")
+        .groupBy(*at)
         .applyInArrow(chunk_windows(window), "meeting long, window long, low long, high long")
         .groupBy("meeting", "window")
         .agg(F.min("low").alias("low"), F.max("high").alias("high"))
@@ -270,8 +296,12 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     spans = segments.groupBy(*at).cogroup(counted.groupBy(*at)).applyInArrow(covered_spans(window), "doc_id long, version long, lo long, hi long")
     spans = spans.select("doc_id", F.struct("version", "lo", "hi").alias("span")).unionAll(copied)
     spans = spans.groupBy("doc_id").agg(F.collect_set("span").alias("spans"))
-    judged = texts.join(spans, "doc_id", "left").select("doc_id", "text", "version", "spans")
-    nowhere = every.where("doc_id IS NULL").select("doc_id", "text", "version", F.lit(None).cast(judged.schema["spans"].dataType).alias("spans"))
-    return judged.unionAll(nowhere).mapInArrow(
-        cut_batches(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
-    )
+    judged = texts.join(spans, "doc_id", "left").select(*columns, "spans")
+    no_spans = F.lit(None).cast(judged.schema["spans"].dataType).alias("spans")
+    nowhere = every.where("doc_id IS NULL").select(*columns, no_spans)
+    result = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
+    if "copies" not in columns:
+        return judged.unionAll(nowhere).mapInArrow(cut_batches(window), result)
+    cut = stored(judged.unionAll(nowhere).mapInArrow(cut_batches(window, "copies"), f"{result}, copies long"), "cut")
+    again = expand_rows(cut.where("copies > 1"), F.col("copies"), ["doc_id"], "copy", block=256).drop("copy")
+    return cut.where("copies IS NULL").unionAll(again).drop("copies")

@@ -6,17 +6,23 @@ import numpy as np
 import xxhash
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-#: Words a task remembers the hash of; it starts afresh beyond them.
-REMEMBERED = 250_000
+#: Words a task remembers the hash of, in each of two generations.
+REMEMBERED = 150_000
 
 
 class WordHashes(dict):
-    """Word to 64-bit hash, kept for words that come again."""
+    """Word to 64-bit hash, kept for words that come again in this generation or the next."""
+
+    older: dict[bytes, int] = {}
 
     def __missing__(self, word: bytes) -> int:
+        found = self.older.get(word)
+        if found is None:
+            found = xxhash.xxh64_intdigest(word)
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word)
+        self[word] = found
         return found
 
 

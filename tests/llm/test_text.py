@@ -61,6 +61,26 @@ def test_substrings_in_parts(spark, monkeypatch, chunk_bytes):
     assert span_rows(got) == brute.bag(brute.cut_substrings([r[:2] for r in rows]))
 
 
+def test_substrings_of_rows_that_repeat(spark, monkeypatch):
+    """Thousands of equal rows under one id are judged once; versions of an id stay apart."""
+    text = " ".join(f"q{k}" for k in range(203))
+    rows = [(7, text, "en", "s", 1)] * 5000 + [(9, f"start {text} end", "en", "s", 1)] * 700 + [(3, " ".join(text.split()[50:90]), "en", "s", 1)]
+    rows += [(9, f"other {text}", "en", "s", 1), (9, None, "en", "s", 1), (9, None, "en", "s", 1), (None, text, "en", "s", 1), (None, text, "en", "s", 1), (11, text, "en", "s", 1)]
+    assert span_rows(substring_dedup.dedup_substrings(spark.createDataFrame(rows, brute.SCHEMA))) == brute.bag(brute.cut_substrings([r[:2] for r in rows]))
+
+
+@pytest.mark.parametrize("characters", [1_100_000, 5])
+def test_words_that_share_a_character(spark, monkeypatch, characters):
+    """More words than characters: a match is held against the words."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(substring_dedup, "CHARACTERS", characters)
+    texts = [f"{chr(97 + i)} " + " ".join(f"w{(i % 3) * 100 + k}" for k in range(30)) for i in range(9)]
+    docs = pa.table({"doc_id": list(range(9)), "version": list(range(9)), "start": [0] * 9, "text": texts})
+    spans = substring_dedup.covered_spans(13)(docs, pa.table({"window": pa.array([], pa.int64()), "low": pa.array([], pa.int64())}))
+    assert sorted(spans.to_pylist(), key=str) == [{"doc_id": i, "version": i, "lo": 1, "hi": 31} for i in range(3, 9)]
+
+
 def near_rows(frame):
     return brute.bag(frame.select("doc_id", "n_shingles", "component_id", "kept").collect())
 
