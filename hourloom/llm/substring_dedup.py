@@ -109,17 +109,13 @@ class Chunk:
         order = np.argsort(flat, kind="stable")
         ordered = flat[order]
         begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(flat) else np.zeros(0, np.int64)
-        self.values, self.first = ordered[begin], order[begin]
+        self.values, first = ordered[begin], order[begin]
         owners = np.repeat(self.ids, counts)[order]
         self.low = np.minimum.reduceat(owners, begin) if len(begin) else owners
         self.high = np.maximum.reduceat(owners, begin) if len(begin) else owners
-        self.base = np.concatenate([[0], np.cumsum(counts)])
-
-    def sequence(self, at: int, window: int) -> np.ndarray:
-        """The words of the window at a flat place."""
-        row = int(np.searchsorted(self.base, at, side="right")) - 1
-        start = at - int(self.base[row])
-        return self.words[row][start : start + window]
+        ends = np.cumsum(counts)
+        self.row = np.searchsorted(ends, first, side="right")
+        self.start = first - (ends - counts)[self.row] if len(first) else first
 
 
 def chunk_windows(window: int):
@@ -147,12 +143,14 @@ def as_characters(words: np.ndarray, values: np.ndarray) -> str:
     return numbers.astype("<u4").tobytes().decode("utf-32-le")
 
 
-def compiled(sequences: list[np.ndarray], owners: list[int], vocabulary: np.ndarray) -> ahocorasick.Automaton:
-    """The automaton of word sequences, one character per word; each with its smallest document."""
+def compiled(strings: list[str], rows: list[int], starts: list[int], owners: list[int], window: int) -> ahocorasick.Automaton:
+    """The automaton of one sequence of each window, one character per word: with its smallest
+    document, and where it was taken from."""
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
-    for sequence, owner in zip(sequences, owners):
-        key = as_characters(sequence, vocabulary)
-        automaton.add_word(key, [*automaton.get(key, []), (owner, sequence)])
+    for row, start, owner in zip(rows, starts, owners):
+        sequence = strings[row][start : start + window]
+        same = automaton.get(sequence, None)
+        automaton.add_word(sequence, [*(same or []), (owner, row, start)])
     automaton.make_automaton()
     return automaton
 
@@ -176,19 +174,25 @@ def covered_spans(window: int):
             recurs[at[here]] = True
         spans = []
         if recurs.any():
-            sequences = [chunk.sequence(at, window) for at in chunk.first[recurs].tolist()]
-            vocabulary = np.unique(np.concatenate(sequences))
-            automaton = compiled(sequences, low[recurs].tolist(), vocabulary)
+            rows, begins = chunk.row[recurs], chunk.start[recurs]
+            flat = np.concatenate(chunk.words)
+            lengths = np.array([len(w) for w in chunk.words], np.int64)
+            edges = np.cumsum(lengths) - lengths
+            vocabulary = np.unique(flat[(edges[rows] + begins)[:, None] + np.arange(window)])
+            every = as_characters(flat, vocabulary)
+            strings = [every[a : a + n] for a, n in zip(edges.tolist(), lengths.tolist())]
+            automaton = compiled(strings, rows.tolist(), begins.tolist(), low[recurs].tolist(), window)
             exact = len(vocabulary) <= CHARACTERS
             starting = (docs.column(c).to_pylist() for c in ("version", "start"))
-            for doc_id, version, base, words in zip(chunk.ids.tolist(), *starting, chunk.words):
+            for doc_id, version, base, string, words in zip(chunk.ids.tolist(), *starting, strings, chunk.words):
                 open_at = end = -1
-                for last, found in automaton.iter(as_characters(words, vocabulary)):
+                for last, found in automaton.iter(string):
                     begin = last - window + 1
                     if exact:
                         owner = found[0][0]
                     else:
-                        owner = min((o for o, s in found if (s == words[begin : last + 1]).all()), default=doc_id)
+                        same = (o for o, r, s in found if (chunk.words[r][s : s + window] == words[begin : last + 1]).all())
+                        owner = min(same, default=doc_id)
                     if owner >= doc_id:
                         continue
                     if begin > end:
@@ -272,7 +276,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     met = stored(grams.join(owned.select("gram", "meeting"), "gram").select("meeting", "doc_id", "gram"), "meetings")
     # Words around a gram, at a mean length of words, give the size of a meeting.
     around = 8 * (2 * window - gram) // 2
-    sizes = met.groupBy("meeting").agg(F.ceil(F.count("*") * around / CHUNK_BYTES).cast("long").alias("chunks"))
+    # Stored, so that the join below has plain exchanges and can split a large meeting.
+    sizes = stored(met.groupBy("meeting").agg(F.ceil(F.count("*") * around / CHUNK_BYTES).cast("long").alias("chunks")), "sizes")
     chunk = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int").alias("chunk")
     places = met.join(sizes, "meeting").groupBy("doc_id").agg(F.collect_list(F.struct("gram", "meeting", chunk, "chunks")).alias("places"))
     copied = copies.select("doc_id", F.struct("version", F.lit(0).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi")).alias("span"))
@@ -280,11 +285,16 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     # The documents are dealt by id once, for the words around their grams and for the cut; both
     # joins read the same exchange as long as nothing else filters one of them. A version that is
     # a whole copy may come along here: its windows are those of the smaller id it copies.
-    segments = texts.join(places, "doc_id").select(*columns, "places")
-    segments = stored(segments.mapInArrow(segment_batches(window, gram), SEGMENT), "segments")
     at = ["meeting", "chunk"]
+
+    def segments_of(of: DataFrame) -> DataFrame:
+        return texts.join(of, "doc_id").select(*columns, "places").mapInArrow(segment_batches(window, gram), SEGMENT)
+
+    segments = segments_of(places)
+    # Only what lies in meetings of several chunks is counted apart.
+    several = F.filter("places", lambda p: p["chunks"] > 1)
     counted = (
-        segments.where("chunks > 1")
+        segments_of(places.withColumn("places", several).where(F.size("places") > 0))
         .groupBy(*at)
         .applyInArrow(chunk_windows(window), "meeting long, window long, low long, high long")
         .groupBy("meeting", "window")
