@@ -31,7 +31,9 @@ SIGNS = b"|#$%&*@~^=+_<>/\\"
 #: A bucket takes part if its log-likelihood ratio against some grade is at least this.
 EVIDENCE = 12.0
 CUTOFF = 0.5
-EPOCHS, STEP, DECAY = 100, 0.5, 1e-5
+#: Weight of the squared weights beside the mean loss; steps of the fit at most; the share of the
+#: objective that ten steps must win for it to go on.
+DECAY, STEPS, LEAST_GAIN = 1e-4, 1000, 1e-6
 
 Model = tuple[np.ndarray, np.ndarray]
 
@@ -81,8 +83,72 @@ def held_by_grade(flat: np.ndarray, grade_of: np.ndarray, dimensions: int, n_gra
     return np.bincount(flat * n_grades + grade_of, minlength=dimensions * n_grades).reshape(dimensions, n_grades)
 
 
+def link_loss(score: np.ndarray, grades: np.ndarray, thresholds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """-log P(grade) of each row, with its derivatives by the score and by each threshold.
+
+    P(grade = j) = P(grade >= j) - P(grade >= j + 1), where P(grade >= j) is
+    sigmoid(score - threshold_j) for the inner grades, 1 for the least and 0 beyond the last.
+    """
+    edges = np.concatenate([[-np.inf], thresholds, [np.inf]])
+    at_least, beyond = (1 / (1 + np.exp(np.clip(edges[grades + k] - score, -500, 500))) for k in (0, 1))
+    share = np.maximum(at_least - beyond, 1e-300)
+    lower, upper = at_least * (1 - at_least) / share, beyond * (1 - beyond) / share
+    by_threshold = np.zeros((len(score), len(thresholds) + 2))
+    rows = np.arange(len(score))
+    by_threshold[rows, grades] = lower
+    by_threshold[rows, grades + 1] -= upper
+    return -np.log(share), upper - lower, by_threshold[:, 1:-1]
+
+
+class Ordinal:
+    """The objective of the fit: mean link loss, documents weighted, and the squared weights.
+
+    ``flat`` has the buckets of all rows, ``row_of`` their rows. Weights are scaled by how
+    often their bucket is there, so that one step size suits all.
+    """
+
+    def __init__(self, flat: np.ndarray, row_of: np.ndarray, grades: np.ndarray, emphasis: np.ndarray, buckets: int):
+        self.flat, self.row_of, self.grades, self.emphasis, self.buckets = flat, row_of, grades, emphasis, buckets
+        self.scale = 1 / np.sqrt(np.bincount(flat, minlength=buckets) / len(grades) + DECAY)
+
+    def at(self, point: np.ndarray) -> tuple[float, np.ndarray]:
+        """Value and gradient; infinite where the thresholds are not in order."""
+        weights, thresholds, n = point[: self.buckets] * self.scale, point[self.buckets :], len(self.grades)
+        if (np.diff(thresholds) <= 0).any():
+            return np.inf, point
+        score = np.bincount(self.row_of, weights[self.flat], n)
+        loss, by_score, by_threshold = link_loss(score, self.grades, thresholds)
+        pull = np.bincount(self.flat, (self.emphasis * by_score)[self.row_of], self.buckets) / n + DECAY * weights
+        push = (self.emphasis[:, None] * by_threshold).mean(0)
+        return float((self.emphasis * loss).mean() + DECAY / 2 * weights @ weights), np.concatenate([pull * self.scale, push])
+
+    def least(self, point: np.ndarray, bounded: np.ndarray) -> np.ndarray:
+        """The point of least value with ``bounded`` weights at 0 or below, by projected
+        gradient steps of spectral length. The objective is convex, so there is one."""
+        value, slope = self.at(point)
+        step, values = 1.0, [value]
+        for _ in range(STEPS):
+            aim = point - step * slope
+            aim[bounded] = np.minimum(aim[bounded], 0)
+            way, part = aim - point, 1.0
+            while True:
+                there = point + part * way
+                there_value, there_slope = self.at(there)
+                if there_value <= max(values[-8:]) + 1e-4 * part * (slope @ way) or part < 1e-9:
+                    break
+                part /= 2
+            moved, turned = there - point, there_slope - slope
+            bend = moved @ turned
+            step = float(np.clip(moved @ moved / bend, 1e-4, 1e4)) if bend > 0 else 1e4
+            point, value, slope = there, there_value, there_slope
+            values.append(value)
+            if part < 1e-9 or (len(values) > 20 and min(values[:-10]) - min(values) <= LEAST_GAIN * abs(value)):
+                break
+        return point
+
+
 def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, dimensions: int, n_grades: int) -> Model:
-    """Weights and thresholds of the cumulative-link model, by adaptive gradient steps.
+    """Weights and thresholds of the cumulative-link model, by its likelihood.
 
     Documents of a rare grade weigh more. Buckets without ``EVIDENCE`` for any grade keep
     weight 0, so the many words that tell nothing have no say. Words only tell against a
@@ -92,39 +158,21 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, dimensions: int, n_g
     n = len(rows)
     length = np.array([len(r) for r in rows])
     flat = np.concatenate(rows)
-    row_of = np.repeat(np.arange(n, dtype=np.int32), length)
+    row_of = np.repeat(np.arange(n), length)
     among = held_by_grade(flat.astype(np.int64), grades[row_of], dimensions, n_grades)
     used = np.flatnonzero(evidence(among, np.bincount(grades, minlength=n_grades)) >= EVIDENCE)
-    place = np.full(dimensions, -1, np.int32)
-    place[used] = np.arange(len(used), dtype=np.int32)
+    place = np.full(dimensions, -1)
+    place[used] = np.arange(len(used))
     keep = place[flat] >= 0
-    flat, row_of = place[flat[keep]], row_of[keep]
-    starts = np.searchsorted(row_of, np.arange(n + 1))
     share = np.bincount(grades, minlength=n_grades) / n
     emphasis = 1 / np.maximum(share[grades] * (share > 0).sum(), 1e-9)
-    weights, seen, is_word = np.zeros(len(used)), np.full(len(used), 1e-6), used < dimensions - SHAPE
-    thresholds, moved = np.linspace(-1, 1, n_grades - 1), np.full(n_grades - 1, 1e-6)
-    above = (grades[:, None] >= np.arange(1, n_grades)[None, :]).astype(float)
-    rng = np.random.default_rng(3)
-    for _ in range(EPOCHS):
-        for batch in np.array_split(rng.permutation(n), -(-n // 256)):
-            parts = [flat[starts[i] : starts[i + 1]] for i in batch]
-            at, of = np.concatenate(parts), np.repeat(np.arange(len(batch)), [len(p) for p in parts])
-            score = np.bincount(of, weights[at], len(batch)).astype(float)
-            error = 1 / (1 + np.exp(np.clip(thresholds[None, :] - score[:, None], -30, 30))) - above[batch]
-            error *= emphasis[batch][:, None]
-            pull = np.bincount(at, error.sum(1)[of], len(used)) / len(batch)
-            touched = np.flatnonzero(pull)
-            step = pull[touched] + DECAY * weights[touched]
-            seen[touched] += step**2
-            moved_to = weights[touched] - STEP * step / np.sqrt(seen[touched])
-            weights[touched] = np.where(is_word[touched], np.minimum(moved_to, 0), moved_to)
-            push = -error.mean(0)
-            moved += push**2
-            thresholds = np.sort(thresholds - STEP * push / np.sqrt(moved))
-    spread_out = np.zeros(dimensions)
-    spread_out[used] = weights
-    return spread_out, thresholds
+    objective = Ordinal(place[flat[keep]], row_of[keep], grades, emphasis, len(used))
+    start = np.concatenate([np.zeros(len(used)), np.linspace(-1, 1, n_grades - 1)])
+    bounded = np.flatnonzero(used < dimensions - SHAPE)
+    point = objective.least(start, bounded)
+    weights = np.zeros(dimensions)
+    weights[used] = point[: len(used)] * objective.scale
+    return weights, point[len(used) :]
 
 
 def tails(score: np.ndarray, thresholds: np.ndarray) -> np.ndarray:

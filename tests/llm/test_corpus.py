@@ -219,6 +219,43 @@ def test_classifier_on_held_out_labels(spark):
     assert by_grade == sorted(by_grade)
 
 
+def plain_loss(weights, thresholds, rows, grades, emphasis):
+    """The objective, written out document by document."""
+    sigmoid = lambda z: 1 / (1 + math.exp(-z))
+    total = 0.0
+    for row, grade, weight in zip(rows, grades, emphasis):
+        score = sum(weights[b] for b in row)
+        at_least = [1.0, *(sigmoid(score - t) for t in thresholds), 0.0]
+        total -= weight * math.log(at_least[grade] - at_least[grade + 1])
+    return total / len(rows) + quality.DECAY / 2 * sum(w * w for w in weights)
+
+
+def test_fit_is_the_least_of_the_written_out_likelihood():
+    """Against a slow search: no feasible change of one weight or threshold makes it better."""
+    rng = np.random.default_rng(4)
+    dimensions, n = 128, 240
+    grades = rng.integers(0, 3, n)
+    rows = [np.unique(np.concatenate([rng.integers(0, 6, 1) + 8 * g * (rng.random() < 0.7), rng.integers(30, 34, 2), 64 + rng.integers(0, 3, 1) + 3 * (g == 2)])) for g in grades]
+    weights, thresholds = quality.fit_ordinal(rows, grades, dimensions, 3)
+    assert thresholds[0] < thresholds[1] and (weights[: dimensions - quality.SHAPE] <= 0).all() and np.count_nonzero(weights) > 5
+    share = np.bincount(grades) / n
+    emphasis = 1 / (share[grades] * 3)
+    best = plain_loss(weights, thresholds, rows, grades, emphasis)
+    assert math.isclose(best, quality.Ordinal(np.concatenate(rows), np.repeat(np.arange(n), [len(r) for r in rows]), grades, emphasis, dimensions).at(
+        np.concatenate([weights / quality.Ordinal(np.concatenate(rows), np.repeat(np.arange(n), [len(r) for r in rows]), grades, emphasis, dimensions).scale, thresholds]))[0], rel_tol=1e-9)
+    for bucket in np.flatnonzero(weights):
+        for change in (-0.05, 0.05):
+            moved = weights.copy()
+            moved[bucket] += change
+            if bucket >= dimensions - quality.SHAPE or moved[bucket] <= 0:
+                assert plain_loss(moved, thresholds, rows, grades, emphasis) >= best - 1e-5
+    for k in range(2):
+        for change in (-0.05, 0.05):
+            moved = thresholds.copy()
+            moved[k] += change
+            assert plain_loss(weights, moved, rows, grades, emphasis) >= best - 1e-5
+
+
 def test_classifier_edges(spark):
     edge = brute.edge_frame(spark)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
