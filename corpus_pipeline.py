@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from hourloom.llm import line_dedup, mixing, near_dup, packing, quality
-from hourloom.llm.common import DOCUMENT_COLUMNS, stored, table
+from hourloom.llm.common import DOCUMENT_COLUMNS, SPACE, stored, table
 from pyspark.sql import functions as F
 
 
@@ -20,9 +20,10 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that others repeat; those that keep no line's text go."""
+    """Documents without the lines that others repeat; those that lose lines and keep white
+    space only go. Documents without text that lose no line stay."""
     cut = line_dedup.dedup_lines(docs)
-    emptied = (F.col("n_dropped") > 0) & (F.trim("text") == "")
+    emptied = (F.col("n_dropped") > 0) & (F.btrim("text", F.lit(SPACE)) == "")
     return cut.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.char_length("text").cast("long")).select(*DOCUMENT_COLUMNS)
 
 
