@@ -33,7 +33,7 @@ EVIDENCE = 12.0
 CUTOFF = 0.5
 #: Weight of the squared weights beside the mean loss; steps of the fit at most; the share of the
 #: objective that ten steps must win for it to go on.
-DECAY, STEPS, LEAST_GAIN = 1e-4, 1000, 1e-6
+DECAY, STEPS, LEAST_GAIN = 1e-4, 1000, 1e-3
 
 Model = tuple[np.ndarray, np.ndarray]
 
@@ -103,12 +103,17 @@ def link_loss(score: np.ndarray, grades: np.ndarray, thresholds: np.ndarray) ->
 class Ordinal:
     """The objective of the fit: mean link loss, documents weighted, and the squared weights.
 
-    ``flat`` has the buckets of all rows, ``row_of`` their rows. Weights are scaled by how
+    ``flat`` has the buckets of all rows, ``row_of`` their rows, ascending. Weights are scaled by how
     often their bucket is there, so that one step size suits all.
     """
 
     def __init__(self, flat: np.ndarray, row_of: np.ndarray, grades: np.ndarray, emphasis: np.ndarray, buckets: int):
-        self.flat, self.row_of, self.grades, self.emphasis, self.buckets = flat, row_of, grades, emphasis, buckets
+        self.flat, self.grades, self.emphasis, self.buckets = flat, grades, emphasis, buckets
+        # Both ways of the sums go over entries that lie together: by row, and by bucket.
+        self.rows, self.row_at = np.unique(row_of, return_index=True)
+        order = np.argsort(flat, kind="stable")
+        self.row_of = row_of[order]
+        self.held, self.held_at = np.unique(flat[order], return_index=True)
         self.scale = 1 / np.sqrt(np.bincount(flat, minlength=buckets) / len(grades) + DECAY)
 
     def at(self, point: np.ndarray) -> tuple[float, np.ndarray]:
@@ -116,9 +121,12 @@ class Ordinal:
         weights, thresholds, n = point[: self.buckets] * self.scale, point[self.buckets :], len(self.grades)
         if (np.diff(thresholds) <= 0).any():
             return np.inf, point
-        score = np.bincount(self.row_of, weights[self.flat], n)
+        score, pull = np.zeros(n), DECAY * weights
+        if len(self.flat):
+            score[self.rows] = np.add.reduceat(weights[self.flat], self.row_at)
         loss, by_score, by_threshold = link_loss(score, self.grades, thresholds)
-        pull = np.bincount(self.flat, (self.emphasis * by_score)[self.row_of], self.buckets) / n + DECAY * weights
+        if len(self.flat):
+            pull[self.held] += np.add.reduceat((self.emphasis * by_score)[self.row_of], self.held_at) / n
         push = (self.emphasis[:, None] * by_threshold).mean(0)
         return float((self.emphasis * loss).mean() + DECAY / 2 * weights @ weights), np.concatenate([pull * self.scale, push])
 
