@@ -64,6 +64,7 @@ class ChunkIds(dict):
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoder = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.older: dict[str, bytes] = {}
+        self.remembered = REMEMBERED
 
     def encoded(self, text: str) -> bytes:
         return np.array(self.encoder.encode_ordinary(text), "<u4").tobytes()
@@ -72,7 +73,7 @@ class ChunkIds(dict):
         ids = self.older.get(chunk)
         if ids is None:
             ids = self.encoded(chunk if chunk[:1] == "\n" else f" {chunk}")
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.remembered:
             self.older = dict(self)
             self.clear()
         self[chunk] = ids
@@ -99,11 +100,12 @@ def chunk_ids(path: str) -> ChunkIds:
     return memory[path] if path in memory else memory.setdefault(path, ChunkIds(path))
 
 
-def piece_batches(path: str, added: dict[str, int], capacity: int, end_id: int, with_ids: bool):
+def piece_batches(path: str, added: dict[str, int], capacity: int, end_id: int, with_ids: bool, remembered: int):
     """Full windows are cut first, what is left of a document is one more piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, end = chunk_ids(path), np.array([end_id], "<u4").tobytes()
+        memory.remembered = remembered
         for batch in in_slices(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -198,6 +200,7 @@ def pack(
     end_id: int = END_ID,
     with_ids: bool = False,
     added: dict[str, int] | None = None,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Rows ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
     sequence_length`` (and ``ids``): every document's tokens, cut in pieces, each placed.
@@ -205,7 +208,8 @@ def pack(
     A document is its byte-level BPE ids and ``end_id``. Pieces lie in their sequence from
     offset 0 without gaps; a sequence is padded to ``capacity`` unless its length is a power
     of two. Pieces are dealt by hash to shards of about ``SHARD_PIECES``, so no task sees all,
-    and each shard is packed longest piece first.
+    and each shard is packed longest piece first. A worker remembers the ids of at most twice
+    ``remembered`` chunks, which changes its speed and memory only.
 
     The strings of ``added`` tokens (those of the public tokenizer, if not given) are one id
     each, as in the tokenizer. A null text is an empty one: one piece of one id. Rows that
@@ -216,7 +220,7 @@ def pack(
     path = vocabulary or vocabulary_path()
     known = added_tokens() if added is None else added
     schema = PIECE + (", ids array<int>" if with_ids else "")
-    pieces = docs.select("doc_id", "text").mapInArrow(piece_batches(path, known, capacity, end_id, with_ids), schema)
+    pieces = docs.select("doc_id", "text").mapInArrow(piece_batches(path, known, capacity, end_id, with_ids, remembered), schema)
     pieces = stored(pieces, "pieces")
     shards = -(-pieces.count() // SHARD_PIECES) or 1
     out = f"{schema}, sequence_id long, offset long, sequence_length long"
