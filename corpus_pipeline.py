@@ -39,7 +39,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's tokens in pieces, placed in sequences, with their ids."""
-    return packing.pack(docs, with_ids=True)
+    # Workers that ran the other stages hold memory already.
+    return packing.pack(docs, with_ids=True, remembered=70_000)
 
 
 STAGES = [
