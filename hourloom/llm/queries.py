@@ -130,15 +130,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TOP_SQL = r"""
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  SELECT row_number() OVER () AS place, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-  FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  SELECT q.place, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.place <> c.place AND len(q.v) = len(c.v)
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+  SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id) AS rank FROM scored
 ) WHERE rank <= 5
 """
 

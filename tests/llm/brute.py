@@ -112,12 +112,13 @@ def targets(sizes, weights=(3, 1, 2), share=150, copies=2):
 def top(vectors, every, k):
     import math
 
-    usable = {i: [math.floor(256 * x) for x in v] for i, v in vectors if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    usable = [(i, [math.floor(256 * x) for x in v]) for i, v in vectors if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in usable:
+    for at, (q, asked) in enumerate(usable):
         if q % every == 0:
             clip = lambda x: max(-(2**63), min(2**63 - 1, x))
-            scored = sorted((-clip(sum(a * b for a, b in zip(usable[q], v))), i) for i, v in usable.items() if i != q and len(v) == len(usable[q]))
+            others = [r for place, r in enumerate(usable) if place != at and len(r[1]) == len(asked)]
+            scored = sorted((-clip(sum(a * b for a, b in zip(asked, v))), i) for i, v in others)
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 

@@ -300,7 +300,31 @@ def test_top_k(spark):
     assert got == brute.top(exact, 50, 5)
     assert topk.top_k(frame.where("false")).count() == 0
     doubled = topk.top_k(frame.unionAll(frame))
-    assert sorted(map(tuple, doubled.collect())) == got
+    assert sorted(map(tuple, doubled.collect())) == brute.top(exact + exact, 50, 5)
+
+
+def test_top_k_of_rows_that_share_an_id(spark):
+    rows = [(50, [1.0, 2.0]), (50, [3.0, -1.0]), (7, [1.0, 1.0]), (7, [2.0, 2.0]), (7, [2.0, 2.0]), (8, [2.0, 2.0]), (9, [-5.0, 0.5]), *[(100, [0.5, 0.5])] * 40]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert sorted(map(tuple, topk.top_k(frame).collect())) == brute.top(rows, 50, 5)
+
+
+@pytest.mark.parametrize("scale", [1, 1e5, 1e15])
+def test_threshold_leaves_few_entries_and_loses_none(scale):
+    # Clustered vectors: a query's cluster is far ahead of the rest.
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 32))
+    vectors = np.floor(256 * scale * (centres[np.arange(400) % 40] + 0.05 * rng.normal(size=(400, 32))))
+    block = topk.LocalLists(vectors[:20], vectors, topk.LISTS)
+    own = np.arange(20)[:, None] == np.arange(400)[None, :]
+    exact = np.array([[max(-(2**63), min(2**63 - 1, sum(int(x) * int(y) for x, y in zip(a, b)))) for b in vectors] for a in vectors[:20]])
+    rows, at = block.heads(own, 5)
+    score = block.resolved(rows, at)
+    assert (score == exact[rows, at]).all() and len(rows) <= 20 * topk.LISTS * 5 and not own[rows, at].any()
+    cutoff = np.array([np.sort(score[rows == r])[-5] for r in range(20)])
+    over = block.over(cutoff)
+    assert over[exact >= cutoff[:, None]].all()
+    assert over.sum() < (1 if scale == 1e15 else 0.25) * over.size
 
 
 @pytest.mark.parametrize("block", [2048, 37])
