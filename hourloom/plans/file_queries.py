@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from hourloom.functions.casts import lenient_double, lenient_int
 from hourloom.plans.registry import query, table
+from hourloom.plans.stages import Stage, StageRun
 from hourloom.plans.yearly import pending_partitions as pending
 from hourloom.session import scratch_path
 from hourloom.sources import raw, tables
@@ -156,3 +157,48 @@ def orders_audit(spark, sf):
 def years_to_do(spark, sf):
     done = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year"))
     return pending(done, spark, 1992, 2012)
+
+
+_DAYS = T.StructType([T.StructField("o_orderdate", T.TimestampNTZType()), T.StructField("largest", T.DoubleType())])
+
+
+@query(
+    "stage_audits",
+    """WITH days AS (
+         SELECT o_orderdate, max(CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END) AS largest FROM orders GROUP BY 1
+       )
+       SELECT 'by_day' AS name, count(*) AS n_rows, NULL::BIGINT AS status_nulls,
+              count(*) - count(largest) AS largest_nulls,
+              min(o_orderdate)::TIMESTAMP AS first_ts, max(o_orderdate)::TIMESTAMP AS last_ts FROM days
+       UNION ALL
+       SELECT 'orders', count(*), count(*) - count(nullif(o_orderstatus, 'P')), NULL,
+              min(o_orderdate)::TIMESTAMP, max(o_orderdate)::TIMESTAMP FROM orders""",
+)
+def audits_of_stages(spark, sf):
+    """Two stages, run one after the other by two runs; the second finds the first's table done."""
+    path = scratch_path(spark, "stages")
+    stages = {
+        "orders": Stage({"orders": _ORDERS}, ts="o_orderdate"),
+        "by_day": Stage({"by_day": _DAYS}, ("orders",), "o_orderdate"),
+    }
+
+    def orders():
+        known = F.nullif(F.col("o_orderstatus"), F.lit("P"))
+        return {"orders": table(spark, sf, "orders").select(_ORDERS.names).withColumn("o_orderstatus", known)}
+
+    def by_day(done):
+        price = F.when(F.col("o_orderstatus").isNotNull(), F.col("o_totalprice"))
+        return {"by_day": done.groupBy("o_orderdate").agg(F.max(price).alias("largest"))}
+
+    StageRun(spark, path, 1, stages, only=["orders"]).run("orders", orders)
+    resumed = StageRun(spark, path, 1, stages, resume=True)
+    done = resumed.run("orders", orders)["orders"]
+    resumed.run("by_day", lambda: by_day(done))
+    return tables.audits(spark, resumed.path(tables.AUDIT)).select(
+        "name",
+        "n_rows",
+        F.col("nulls")["o_orderstatus"].alias("status_nulls"),
+        F.col("nulls")["largest"].alias("largest_nulls"),
+        F.col("first_ts").cast("timestamp_ntz").alias("first_ts"),
+        F.col("last_ts").cast("timestamp_ntz").alias("last_ts"),
+    )

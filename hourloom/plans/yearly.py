@@ -2,11 +2,13 @@
 
 Every stage is a function from frames to a frame. ``run_year`` strings them together
 and keeps each result as a table partitioned by year, so a stage that several others
-read is computed once, and a year can be run again without doubling its rows.
+read is computed once, a stage can be run alone, and a year can be run again without
+doubling its rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,9 +30,10 @@ from hourloom.operators.resample import resample
 from hourloom.operators.sampling import stratified_split, undersample
 from hourloom.operators.segments import HOUR
 from hourloom.operators.spline import spline_fill
-from hourloom.session import stored
+from hourloom.plans.stages import Stage, StageRun
+from hourloom.session import scratch_run, stored
 from hourloom.sources.raw import archive_records, csv_scan, matching_files, station_map
-from hourloom.sources.tables import YEAR, mark_finished, read_year, write_year
+from hourloom.sources.tables import YEAR, read_year
 
 STATION, HOUR_COL = "WBAN_WEATHER", "DATE_TIME"
 DELAY_MINUTES = 15
@@ -136,6 +139,21 @@ class Paths:
         return f"{self.raw.rstrip('/')}/{year}/{kind}"
 
 
+#: The stages of a year in the order they run.
+STAGES = {
+    "flights": Stage({"flights": S.FLIGHTS}, ts="FlightDate"),
+    "raw_weather": Stage({"raw_weather": S.READINGS}, ts=HOUR_COL),
+    "weather": Stage({"weather": S.READINGS}, ("raw_weather",), HOUR_COL),
+    "interpolated_weather": Stage({"interpolated_weather": S.READINGS}, ("weather",), HOUR_COL),
+    "vectorized_weather": Stage({"vectorized_weather": S.station_features("", "features")}, ("interpolated_weather",), HOUR_COL),
+    "org_delay": Stage({"org_delay": S.ORIGIN_DELAY}, ("flights", "vectorized_weather"), "FlightDate"),
+    "org_dest_delay": Stage({"org_dest_delay": S.BOTH_DELAY}, ("org_delay", "vectorized_weather"), "FlightDate"),
+    "delay": Stage({"delay": S.EXAMPLES}, ("org_dest_delay",)),
+    "balance": Stage({"train_delay": S.EXAMPLES, "test_delay": S.EXAMPLES}, ("delay",)),
+    "model": Stage({"train_roc": S.ROC, "test_roc": S.ROC}, ("balance",)),
+}
+
+
 def run_year(
     spark: SparkSession,
     year: int,
@@ -149,60 +167,72 @@ def run_year(
     pad_key_to: int | None = None,
     truncate_first: bool = True,
     archived: bool = False,
+    stages: Collection[str] | None = None,
+    resume: bool = False,
 ) -> dict[str, DataFrame]:
-    """Run all stages for one year and return its tables.
+    """Run the stages of one year and return the tables that are done.
 
     Training uses the balanced examples of every year up to this one. The test curve
     is drawn from the hard prediction, or from the probability if ``hard_score`` is off.
     ``trace_value``, ``pad_key_to`` and ``truncate_first`` repair what the defaults keep
     (see the README). With ``archived`` the flights are zip archives of CSV files.
+
+    ``stages`` names those of ``STAGES`` to run, from the stored tables of the others;
+    ``resume`` leaves out those that are done. Every write leaves an audit row, see
+    ``audits``. Scratch tables are removed at the end.
     """
-    tables: dict[str, DataFrame] = {}
+    run = StageRun(spark, paths.tables, year, STAGES, fmt, stages, resume)
 
-    def keep(name: str, df: DataFrame, schema) -> DataFrame:
-        write_year(df, paths.table(name), schema, year, fmt)
-        tables[name] = read_year(spark, paths.table(name), schema, year, fmt)
-        return tables[name]
-
-    stations = station_map(spark, paths.station_map, pad_key_to)
-    read_flights = archive_records if archived else csv_scan
-    raw_flights = read_flights(spark, paths.raw_dir(year, "flights"), S.FLIGHT_COLUMNS)
-    files = matching_files(spark, paths.raw_dir(year, "weather"), stations, "WBAN", STATION_FILE)
-    raw_weather = csv_scan(spark, files, S.READING_COLUMNS)
-
-    flights = keep("flights", flight_hours(raw_flights, stations, truncate_first), S.FLIGHTS)
-    hourly = keep("raw_weather", hourly_readings(raw_weather, stations, trace_value), S.READINGS)
-    regular = keep("weather", regular_readings(hourly), S.READINGS)
-    filled = keep("interpolated_weather", filled_readings(regular), S.READINGS)
-    # One stack serves both ends of a flight; the roles differ in column names only.
-    shared = keep("vectorized_weather", station_features(filled), S.station_features("", "features"))
-    tables["org_vectorized_weather"] = in_role(shared, "ORIGIN_", "originFeatures")
-    tables["dest_vectorized_weather"] = in_role(shared, "DEST_", "destinationFeatures")
+    def raw_flights() -> DataFrame:
+        read = archive_records if archived else csv_scan
+        return read(spark, paths.raw_dir(year, "flights"), S.FLIGHT_COLUMNS)
 
-    org = keep("org_delay", with_origin(flights, tables["org_vectorized_weather"]), S.ORIGIN_DELAY)
-    both = keep("org_dest_delay", with_destination(org, tables["dest_vectorized_weather"]), S.BOTH_DELAY)
-    delay = keep("delay", examples(both), S.EXAMPLES)
+    def raw_weather(stations: DataFrame) -> DataFrame:
+        files = matching_files(spark, paths.raw_dir(year, "weather"), stations, "WBAN", STATION_FILE)
+        return csv_scan(spark, files, S.READING_COLUMNS)
 
-    train, test = stratified_split(stored(undersample(delay, "label", seed), "balanced"))
-    keep("train_delay", train, S.EXAMPLES)
-    keep("test_delay", test, S.EXAMPLES)
+    def stations() -> DataFrame:
+        return station_map(spark, paths.station_map, pad_key_to)
 
     def up_to_year(name: str) -> DataFrame:
         return read_year(spark, paths.table(name), S.EXAMPLES, fmt=fmt).where(F.col(YEAR) <= year).drop(YEAR)
 
-    model, scored = rf_train_score(
-        up_to_year("train_delay"), up_to_year("test_delay"), trees=trees, depth=depth, seed=seed
-    )
-    model.write().overwrite().save(f"{paths.models.rstrip('/')}/{year}/rf_model")
-    summary = model.summary
-    train_roc = summary.roc.withColumn("areaUnderROC", F.lit(summary.areaUnderROC).cast("double"))
-    keep("train_roc", train_roc, S.ROC)
-
-    score = "prediction" if hard_score else "probability"
-    curve, area = roc_and_auc(scored, score, "label")
-    test_roc = curve.withColumn("areaUnderROC", F.lit(area.first()["areaUnderROC"]).cast("double"))
-    keep("test_roc", test_roc, S.ROC)
-    mark_finished(spark, paths.table("finished"), year)
+    def balance() -> dict[str, DataFrame]:
+        train, test = stratified_split(stored(undersample(tables["delay"], "label", seed), "balanced"))
+        return {"train_delay": train, "test_delay": test}
+
+    def model() -> dict[str, DataFrame]:
+        fitted, scored = rf_train_score(up_to_year("train_delay"), up_to_year("test_delay"), trees=trees, depth=depth, seed=seed)
+        fitted.write().overwrite().save(f"{paths.models.rstrip('/')}/{year}/rf_model")
+        summary = fitted.summary
+        curve, area = roc_and_auc(scored, "prediction" if hard_score else "probability", "label")
+        return {
+            "train_roc": summary.roc.withColumn("areaUnderROC", F.lit(summary.areaUnderROC).cast("double")),
+            "test_roc": curve.withColumn("areaUnderROC", F.lit(area.first()["areaUnderROC"]).cast("double")),
+        }
+
+    # One stack serves both ends of a flight; the roles differ in column names only.
+    origin = lambda: in_role(tables["vectorized_weather"], "ORIGIN_", "originFeatures")
+    destination = lambda: in_role(tables["vectorized_weather"], "DEST_", "destinationFeatures")
+    makers = {
+        "flights": lambda: flight_hours(raw_flights(), stations(), truncate_first),
+        "raw_weather": lambda: hourly_readings(raw_weather(stations()), stations(), trace_value),
+        "weather": lambda: regular_readings(tables["raw_weather"]),
+        "interpolated_weather": lambda: filled_readings(tables["weather"]),
+        "vectorized_weather": lambda: station_features(tables["interpolated_weather"]),
+        "org_delay": lambda: with_origin(tables["flights"], origin()),
+        "org_dest_delay": lambda: with_destination(tables["org_delay"], destination()),
+        "delay": lambda: examples(tables["org_dest_delay"]),
+    }
+    several = {"balance": balance, "model": model}
+
+    tables: dict[str, DataFrame] = {}
+    with scratch_run(spark):
+        for name in STAGES:
+            tables |= run.run(name, several.get(name) or (lambda name=name: {name: makers[name]()}))
+    if "vectorized_weather" in tables:
+        tables |= {"org_vectorized_weather": origin(), "dest_vectorized_weather": destination()}
+    run.finish()
     return tables
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -76,6 +78,19 @@ def clear(spark: SparkSession, run: str) -> None:
         spark.conf.unset(RUN_KEY)
 
 
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """A run around a block, cleared at its end, also after an error; one around it goes on."""
+    outer = spark.conf.get(RUN_KEY, None)
+    run = start_run(spark)
+    try:
+        yield run
+    finally:
+        clear(spark, run)
+        if outer:
+            spark.conf.set(RUN_KEY, outer)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unused path below the shared folder, in that of the run if one has begun."""
     run = spark.conf.get(RUN_KEY, None)

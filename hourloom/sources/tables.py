@@ -7,6 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 YEAR = "year"
+#: Folder of the audit rows below that of the tables.
+AUDIT = "audit"
+AUDITS = T.StructType(
+    [
+        T.StructField("name", T.StringType()),
+        T.StructField(YEAR, T.IntegerType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("nulls", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("first_ts", T.TimestampType()),
+        T.StructField("last_ts", T.TimestampType()),
+    ]
+)
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType, merge_schema: bool = False) -> DataFrame:
@@ -31,11 +43,27 @@ def mark_finished(spark: SparkSession, path: str, year: int) -> None:
     row.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={year}")
 
 
+def unmark_finished(spark: SparkSession, path: str, year: int) -> None:
+    """Take the record back, if there is one: the year is being run again."""
+    remove(spark, f"{path.rstrip('/')}/run={year}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what is at ``path``, if anything; an error if it stays."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True) and exists(spark, path):
+        raise OSError(f"{path} can't be deleted")
+
+
 def finished_years(spark: SparkSession, path: str) -> DataFrame:
     """Rows ``year`` of what ``mark_finished`` recorded at ``path``; none if it is new."""
     schema = T.StructType([T.StructField(YEAR, T.IntegerType())])
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path).select(YEAR)
 
@@ -103,3 +131,44 @@ def table_audit(df: DataFrame, ts: str | None = None) -> DataFrame:
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
+
+
+def write_audited(
+    df: DataFrame,
+    path: str,
+    schema: T.StructType,
+    year: int,
+    record: str,
+    name: str,
+    fmt: str = "parquet",
+    ts: str | None = None,
+) -> None:
+    """``write_year``, and then one row of ``AUDITS`` at ``record``, counted on what was stored.
+
+    The row comes after the table: where it is, the table was written to its end and can be
+    read. ``ts`` is a column whose first and last value are kept, where the table has it; null
+    without rows. The counts are a scan of the new files. An ``Observation`` of the write would
+    save it, but in a session that has made one no fitted classifier can score any more: the
+    model's summary holds the session, which then can't be sent to the tasks.
+    """
+    write_year(df, path, schema, year, fmt)
+    kept = read_year(df.sparkSession, path, schema, year, fmt)
+    nulls = [x for c in schema.names for x in (F.lit(c), F.count_if(F.col(c).isNull()))]
+    known = ts is not None and ts in schema.names
+    ends = [end(ts).cast("timestamp") if known else F.lit(None).cast("timestamp") for end in (F.min, F.max)]
+    audit = kept.agg(
+        F.lit(name).alias("name"),
+        F.lit(year).cast("int").alias(YEAR),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.create_map(*nulls).alias("nulls"),
+        ends[0].alias("first_ts"),
+        ends[1].alias("last_ts"),
+    )
+    audit.write.mode("overwrite").parquet(record)
+
+
+def audits(spark: SparkSession, path: str) -> DataFrame:
+    """The audit rows below ``path``, one of each table and year; none if it is new."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], AUDITS)
+    return spark.read.schema(AUDITS).option("recursiveFileLookup", "true").parquet(path)

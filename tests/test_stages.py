@@ -1,0 +1,124 @@
+"""Stages: audits of each write, resuming, running one alone."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import types as T
+
+from hourloom import session
+from hourloom.plans.stages import FINISHED, Stage, StageRun
+from hourloom.sources import tables
+
+SCHEMA = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType()), T.StructField("ts", T.TimestampType())])
+STAGES = {
+    "a": Stage({"a": SCHEMA}, ts="ts"),
+    "other": Stage({"x": SCHEMA, "y": SCHEMA}),
+    "b": Stage({"b": SCHEMA}, ("a",), "ts"),
+    "c": Stage({"c": SCHEMA}, ("b", "other")),
+}
+
+
+def rows(spark, *values):
+    return spark.createDataFrame([(k, n, ts) for k, n, ts in values], SCHEMA)
+
+
+def some(spark):
+    return rows(spark, ("p", 1, datetime(2020, 1, 2)), (None, 2, datetime(2020, 1, 1)), (None, None, None))
+
+
+def all_stages(run, spark, fail_at=None):
+    def make(name):
+        def made():
+            if name == fail_at:
+                raise RuntimeError("killed")
+            return {t: some(spark) for t in STAGES[name].tables}
+
+        return made
+
+    for name in STAGES:
+        run.run(name, make(name))
+    return run
+
+
+def test_every_write_is_audited(spark, tmp_path):
+    run = all_stages(StageRun(spark, str(tmp_path), 2020, STAGES), spark)
+    found = {r["name"]: r for r in tables.audits(spark, run.path(tables.AUDIT)).collect()}
+    assert set(found) == {"a", "b", "c", "x", "y"}
+    a = found["a"]
+    assert (a.year, a.n_rows, a.nulls) == (2020, 3, {"k": 2, "n": 1, "ts": 1})
+    assert (a.first_ts, a.last_ts) == (datetime(2020, 1, 1), datetime(2020, 1, 2))
+    assert found["c"].first_ts is None and run.ran == list(STAGES)
+    by_reading = tables.table_audit(run.read("a")["a"], "ts").first()
+    assert by_reading.n_rows == a.n_rows and by_reading.k_nulls == a.nulls["k"] and by_reading.max_ts == a.last_ts
+
+
+@pytest.mark.parametrize("empty", ["filtered", "no partitions"])
+def test_a_table_without_rows_has_an_audit(spark, tmp_path, empty):
+    frame = some(spark).where("n > 100") if empty == "filtered" else spark.createDataFrame([], SCHEMA)
+    run = StageRun(spark, str(tmp_path), 2020, STAGES, only=["a"])
+    assert run.run("a", lambda: {"a": frame})["a"].count() == 0
+    audit = tables.audits(spark, run.path(tables.AUDIT)).collect()
+    assert [(r["name"], r.n_rows, r.nulls, r.first_ts) for r in audit] == [("a", 0, dict.fromkeys(SCHEMA.names, 0), None)]
+
+
+def test_a_shuffled_frame_is_counted_once(spark, tmp_path):
+    many = spark.range(0, 10_000, 1, 16).selectExpr("CAST(id % 700 AS STRING) AS k", "id AS n", "CAST(NULL AS TIMESTAMP) AS ts")
+    run = StageRun(spark, str(tmp_path), 1, STAGES)
+    run.run("a", lambda: {"a": many.groupBy("k", "ts").count().selectExpr("k", "count AS n", "ts")})
+    audit = tables.audits(spark, run.path(tables.AUDIT)).first()
+    assert (audit.n_rows, audit.nulls) == (700, {"k": 0, "n": 0, "ts": 700})
+
+
+def test_a_killed_run_resumes(spark, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(RuntimeError, match="killed"):
+        all_stages(StageRun(spark, root, 2020, STAGES), spark, fail_at="b")
+    finished = f"{root}/{FINISHED}"
+    again = all_stages(StageRun(spark, root, 2020, STAGES, resume=True), spark)
+    assert again.ran == ["b", "c"] and tables.finished_years(spark, finished).count() == 0
+    assert again.finish() and [r.year for r in tables.finished_years(spark, finished).collect()] == [2020]
+    assert all_stages(StageRun(spark, root, 2020, STAGES, resume=True), spark, fail_at="a").ran == []
+    # Another year has records of its own.
+    assert all_stages(StageRun(spark, root, 2021, STAGES, resume=True), spark).ran == list(STAGES)
+
+
+def test_a_stage_run_alone_takes_back_what_follows(spark, tmp_path):
+    root = str(tmp_path)
+    all_stages(StageRun(spark, root, 2020, STAGES), spark).finish()
+    alone = all_stages(StageRun(spark, root, 2020, STAGES, only=["a"]), spark)
+    assert alone.ran == ["a"] and alone.recorded == {"a", "x", "y"} and not alone.finish()
+    assert tables.finished_years(spark, f"{root}/{FINISHED}").count() == 0
+    assert all_stages(StageRun(spark, root, 2020, STAGES, resume=True), spark).ran == ["b", "c"]
+
+
+def test_a_failed_write_does_not_count_as_done(spark, tmp_path):
+    """The old record goes before the table is touched."""
+    run = all_stages(StageRun(spark, str(tmp_path), 2020, STAGES), spark)
+    bad = some(spark).selectExpr("k", "n", "IF(n = 2, raise_error('broken'), ts) AS ts")
+    with pytest.raises(Exception, match="broken"):
+        run.run("a", lambda: {"a": bad})
+    assert not StageRun(spark, str(tmp_path), 2020, STAGES).done("a")
+
+
+def test_wrong_calls(spark, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(ValueError, match="no such stages"):
+        StageRun(spark, root, 1, STAGES, only=["zzz"])
+    with pytest.raises(ValueError, match="not done"):
+        StageRun(spark, root, 1, STAGES, only=["b"]).run("b", lambda: {"b": some(spark)})
+    with pytest.raises(ValueError, match="makes"):
+        StageRun(spark, root, 1, STAGES).run("a", lambda: {"b": some(spark)})
+
+
+def test_scratch_of_a_run_goes_also_after_an_error(spark):
+    outer = session.start_run(spark)
+    session.stored(spark.range(3))
+    with pytest.raises(RuntimeError):
+        with session.scratch_run(spark) as run:
+            inner = f"{session.shared_root(spark)}/hourloom/{run}"
+            session.stored(spark.range(3))
+            assert tables.exists(spark, inner)
+            raise RuntimeError
+    assert not tables.exists(spark, inner) and spark.conf.get(session.RUN_KEY) == outer
+    assert tables.exists(spark, f"{session.shared_root(spark)}/hourloom/{outer}")
+    session.clear(spark, outer)

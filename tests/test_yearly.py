@@ -13,7 +13,7 @@ from hourloom import schemas as S
 from hourloom.plans import yearly
 from hourloom.plans.yearly import Paths, flight_hours, run_year
 from hourloom.sources.raw import archive_records, csv_scan, station_map
-from hourloom.sources.tables import read_year
+from hourloom.sources.tables import audits, finished_years, read_year
 from tests.test_series import dense_spline
 
 YEAR = 2020
@@ -210,6 +210,32 @@ def test_running_a_year_again_changes_nothing(spark, job):
     assert read_year(spark, paths.table("delay"), S.EXAMPLES).count() == before["delay"]
 
 
+def test_stages_start_alone_and_resume(spark, job):
+    """Nothing is made again by a resumed run; one stage runs from stored tables, without raw files."""
+    paths, _, _, tables = job
+    schemas = {t: schema for s in yearly.STAGES.values() for t, schema in s.tables.items()}
+    rows = lambda: {t: read_year(spark, paths.table(t), schema, YEAR).count() for t, schema in schemas.items()}
+    audit = f"{paths.tables}/audit"
+    stored_at = lambda: {r["name"]: r for r in audits(spark, audit).collect()}
+    files = lambda name: sorted(p.name for p in pathlib.Path(paths.table(name)).rglob("*.parquet"))
+    first = {n: r.asDict() for n, r in stored_at().items()}
+    counts = {n: r["n_rows"] for n, r in first.items()}
+    assert counts == rows()
+    assert first["interpolated_weather"]["nulls"]["HourlyPrecipitation"] == 0 < first["raw_weather"]["nulls"]["HourlyPrecipitation"]
+    kept = {n: files(n) for n in first}
+    no_raw = Paths("nowhere.csv", "nowhere", paths.tables, paths.models)
+    assert run_year(spark, YEAR, no_raw, trees=3, depth=3, resume=True).keys() == tables.keys()
+    assert {n: files(n) for n in first} == kept
+    done = run_year(spark, YEAR, no_raw, trees=3, depth=3, stages=["weather"])
+    assert "weather" in done and "flights" in done and "interpolated_weather" not in done and "delay" not in done
+    assert finished_years(spark, paths.table("finished")).count() == 0
+    run_year(spark, YEAR, no_raw, trees=3, depth=3, resume=True)
+    assert [r.year for r in finished_years(spark, paths.table("finished")).collect()] == [YEAR]
+    assert files("flights") == kept["flights"] and files("delay") != kept["delay"]
+    curves = {"train_roc", "test_roc"}
+    assert {n: c for n, c in rows().items() if n not in curves} == {n: c for n, c in counts.items() if n not in curves}
+
+
 def test_repairs(spark, job, tmp_path):
     """The options of the job: padded ids, trace rain, exact arrival, probability curve."""
     paths, weather, *_ = job
