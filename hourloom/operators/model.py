@@ -35,6 +35,16 @@ def rf_train_score(
     return model, score(model, test, features)
 
 
+def train_curve(model: RandomForestClassificationModel) -> DataFrame:
+    """The ROC curve of a fitted forest on the rows it was fitted on: ``FPR``, ``TPR``, ``areaUnderROC``.
+
+    Two classes only. A loaded model has no curve, as its training rows are not saved with it:
+    an error.
+    """
+    summary = model.summary
+    return summary.roc.withColumn("areaUnderROC", F.lit(summary.areaUnderROC).cast("double"))
+
+
 def load_model(path: str) -> RandomForestClassificationModel:
     """A forest that ``model.write().save(path)`` has saved."""
     return RandomForestClassificationModel.load(path)

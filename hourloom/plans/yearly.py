@@ -25,7 +25,7 @@ from hourloom.operators.aggregates import hourly_mean, top1_per_group
 from hourloom.operators.frames import prefix_columns, required_not_null
 from hourloom.operators.joins import bucket_join, suffix_key_join, two_role_dim_join
 from hourloom.operators.lags import lag_stack
-from hourloom.operators.model import rf_train_score, roc_and_auc
+from hourloom.operators.model import rf_train_score, roc_and_auc, train_curve
 from hourloom.operators.resample import resample
 from hourloom.operators.sampling import stratified_split, undersample
 from hourloom.operators.segments import HOUR
@@ -204,10 +204,9 @@ def run_year(
     def model() -> dict[str, DataFrame]:
         fitted, scored = rf_train_score(up_to_year("train_delay"), up_to_year("test_delay"), trees=trees, depth=depth, seed=seed)
         fitted.write().overwrite().save(f"{paths.models.rstrip('/')}/{year}/rf_model")
-        summary = fitted.summary
         curve, area = roc_and_auc(scored, "prediction" if hard_score else "probability", "label")
         return {
-            "train_roc": summary.roc.withColumn("areaUnderROC", F.lit(summary.areaUnderROC).cast("double")),
+            "train_roc": train_curve(fitted),
             "test_roc": curve.withColumn("areaUnderROC", F.lit(area.first()["areaUnderROC"]).cast("double")),
         }
 

@@ -8,7 +8,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from hourloom.operators import sampling
-from hourloom.operators.model import auc, rf_train_score, roc_curve
+from hourloom.operators.model import auc, load_model, rf_train_score, roc_curve, train_curve
 from hourloom.operators.sampling import stratified_split, undersample
 
 
@@ -127,3 +127,20 @@ def test_no_scores_no_area(spark):
     none = spark.createDataFrame([], "score double, label int")
     assert auc(none, "score", "label").first()[0] is None
     assert sorted(map(tuple, roc_curve(none, "score", "label").collect())) == [(0.0, 0.0), (1.0, 1.0)]
+
+
+def test_train_curve(spark, tmp_path):
+    """It is the curve of the forest's scores of its own training rows."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 6, (600, 4))
+    y = (x.sum(axis=1) + rng.normal(0, 2, 600) > 10).astype(int)
+    rows = spark.createDataFrame([(int(b), a.tolist()) for a, b in zip(x.astype(float), y)], "label int, features array<float>")
+    model, scored = rf_train_score(rows, rows, trees=7, depth=4)
+    curve = train_curve(model).collect()
+    points = lambda found: {(round(r.FPR, 9), round(r.TPR, 9)) for r in found}
+    assert points(curve) == points(roc_curve(scored, "probability", "label").collect()) and len(points(curve)) > 3
+    area = auc(scored, "probability", "label").first().areaUnderROC
+    assert {round(r.areaUnderROC, 9) for r in curve} == {round(area, 9)}
+    model.write().save(str(tmp_path / "m"))
+    with pytest.raises(Exception, match="[Nn]o training summary"):
+        train_curve(load_model(str(tmp_path / "m")))
