@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,8 @@ CUTOFF = 0.5
 #: Weight of the squared weights beside the mean loss; steps of the fit at most; the share of the
 #: objective that ten steps must win for it to go on.
 DECAY, STEPS, LEAST_GAIN = 1e-4, 1000, 1e-3
+#: Entries that the fit works on at once; what it holds of all entries is two short numbers each.
+BLOCK = 1 << 17
 
 Model = tuple[np.ndarray, np.ndarray]
 
@@ -83,6 +86,24 @@ def held_by_grade(flat: np.ndarray, grade_of: np.ndarray, dimensions: int, n_gra
     return np.bincount(flat * n_grades + grade_of, minlength=dimensions * n_grades).reshape(dimensions, n_grades)
 
 
+def spans(edges: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of segments, in order, that hold about ``BLOCK`` entries or are one segment.
+
+    Segment ``k`` has the entries from ``edges[k]`` to ``edges[k + 1]``.
+    """
+    cuts = np.minimum(np.searchsorted(edges, np.arange(0, edges[-1] + BLOCK, BLOCK)), len(edges) - 1)
+    cuts = np.unique(np.append(cuts, len(edges) - 1)).tolist()
+    return list(zip(cuts[:-1], cuts[1:]))
+
+
+def segment_sums(values: np.ndarray, at: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """The sum of ``values[at]`` over each segment (none is empty), a block at a time."""
+    sums = np.zeros(len(edges) - 1)
+    for a, b in spans(edges):
+        sums[a:b] = np.add.reduceat(values[at[edges[a] : edges[b]]], edges[a:b] - edges[a])
+    return sums
+
+
 def link_loss(score: np.ndarray, grades: np.ndarray, thresholds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """-log P(grade) of each row, with its derivatives by the score and by each threshold.
 
@@ -104,17 +125,28 @@ class Ordinal:
     """The objective of the fit: mean link loss, documents weighted, and the squared weights.
 
     ``flat`` has the buckets of all rows, ``row_of`` their rows, ascending. Weights are scaled by how
-    often their bucket is there, so that one step size suits all.
+    often their bucket is there, so that one step size suits all. Beside the two it is given, the
+    objective holds one number of ``row_of``'s type for each entry.
     """
 
     def __init__(self, flat: np.ndarray, row_of: np.ndarray, grades: np.ndarray, emphasis: np.ndarray, buckets: int):
         self.flat, self.grades, self.emphasis, self.buckets = flat, grades, emphasis, buckets
         # Both ways of the sums go over entries that lie together: by row, and by bucket.
-        self.rows, self.row_at = np.unique(row_of, return_index=True)
-        order = np.argsort(flat, kind="stable")
-        self.row_of = row_of[order]
-        self.held, self.held_at = np.unique(flat[order], return_index=True)
-        self.scale = 1 / np.sqrt(np.bincount(flat, minlength=buckets) / len(grades) + DECAY)
+        row_at = np.searchsorted(row_of, np.arange(len(grades), dtype=row_of.dtype))
+        self.rows = np.flatnonzero(np.diff(row_at, append=len(flat)))
+        self.row_edges = np.append(row_at[self.rows], len(flat))
+        blocks = [slice(k, k + BLOCK) for k in range(0, len(flat), BLOCK)]
+        often = sum((np.bincount(flat[k], minlength=buckets) for k in blocks), np.zeros(buckets, np.int64))
+        free = np.cumsum(often) - often
+        self.held = np.flatnonzero(often)
+        self.held_edges = np.append(free[self.held], len(flat))
+        self.row_of = np.empty_like(row_of)
+        for k in blocks:
+            order = np.argsort(flat[k], kind="stable")
+            bucket, here = flat[k][order], np.bincount(flat[k], minlength=buckets)
+            self.row_of[(free - np.cumsum(here) + here)[bucket] + np.arange(len(bucket))] = row_of[k][order]
+            free += here
+        self.scale = 1 / np.sqrt(often / len(grades) + DECAY)
 
     def at(self, point: np.ndarray) -> tuple[float, np.ndarray]:
         """Value and gradient; infinite where the thresholds are not in order."""
@@ -123,10 +155,10 @@ class Ordinal:
             return np.inf, point
         score, pull = np.zeros(n), DECAY * weights
         if len(self.flat):
-            score[self.rows] = np.add.reduceat(weights[self.flat], self.row_at)
+            score[self.rows] = segment_sums(weights, self.flat, self.row_edges)
         loss, by_score, by_threshold = link_loss(score, self.grades, thresholds)
         if len(self.flat):
-            pull[self.held] += np.add.reduceat((self.emphasis * by_score)[self.row_of], self.held_at) / n
+            pull[self.held] += segment_sums(self.emphasis * by_score, self.row_of, self.held_edges) / n
         push = (self.emphasis[:, None] * by_threshold).mean(0)
         return float((self.emphasis * loss).mean() + DECAY / 2 * weights @ weights), np.concatenate([pull * self.scale, push])
 
@@ -165,16 +197,19 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, dimensions: int, n_g
     """
     n = len(rows)
     length = np.array([len(r) for r in rows])
-    flat = np.concatenate(rows)
-    row_of = np.repeat(np.arange(n), length)
-    among = held_by_grade(flat.astype(np.int64), grades[row_of], dimensions, n_grades)
+    among = np.zeros((dimensions, n_grades), np.int64)
+    for a, b in spans(np.append(0, np.cumsum(length))):
+        among += held_by_grade(np.concatenate(rows[a:b]).astype(np.int64), np.repeat(grades[a:b], length[a:b]), dimensions, n_grades)
     used = np.flatnonzero(evidence(among, np.bincount(grades, minlength=n_grades)) >= EVIDENCE)
-    place = np.full(dimensions, -1)
-    place[used] = np.arange(len(used))
-    keep = place[flat] >= 0
+    # Buckets and rows are numbered anew, in the shortest type that holds them.
+    told, place = np.zeros(dimensions, bool), np.zeros(dimensions, np.min_scalar_type(len(used)))
+    told[used], place[used] = True, np.arange(len(used))
+    parts = [place[r[told[r]]] for r in rows]
+    flat, row_of = np.concatenate(parts), np.repeat(np.arange(n, dtype=np.min_scalar_type(n)), [len(p) for p in parts])
+    del parts
     share = np.bincount(grades, minlength=n_grades) / n
     emphasis = 1 / np.maximum(share[grades] * (share > 0).sum(), 1e-9)
-    objective = Ordinal(place[flat[keep]], row_of[keep], grades, emphasis, len(used))
+    objective = Ordinal(flat, row_of, grades, emphasis, len(used))
     start = np.concatenate([np.zeros(len(used)), np.linspace(-1, 1, n_grades - 1)])
     bounded = np.flatnonzero(used < dimensions - SHAPE)
     point = objective.least(start, bounded)
@@ -280,10 +315,12 @@ def fitted(sample: DataFrame, dimensions: int, n_grades: int) -> Model | None:
     """
 
     def fit(table: pa.Table) -> pa.Table:
-        table = table.sort_by("doc_id")
-        values, edges = unlisted(table.column("features"))
-        rows = [values[a:b] for a, b in zip(edges[:-1], edges[1:])]
-        weights, thresholds = fit_ordinal(rows, table.column("grade").to_numpy().astype(np.int64), dimensions, n_grades)
+        # Rows are views of the batches as they came; to sort the table would copy it.
+        order = pc.sort_indices(table.column("doc_id")).to_numpy()
+        lists = [unlisted(chunk) for chunk in table.column("features").chunks]
+        rows = [values[a:b] for values, edges in lists for a, b in zip(edges[:-1], edges[1:])]
+        grades = table.column("grade").to_numpy()[order].astype(np.int64)
+        weights, thresholds = fit_ordinal([rows[k] for k in order], grades, dimensions, n_grades)
         return pa.table({"weights": [weights.astype(np.float32).tobytes()], "thresholds": [thresholds.tobytes()]})
 
     rows = sample.mapInArrow(sample_batches(dimensions), "doc_id long, key string, grade int, features array<int>")

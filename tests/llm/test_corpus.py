@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -258,6 +259,48 @@ def test_fit_is_the_least_of_the_written_out_likelihood(monkeypatch):
             assert plain_loss(weights, moved, rows, grades, emphasis) >= best - 1e-5
 
 
+def many_rows(n, told, dimensions):
+    """Rows of three grades; a bucket of ``told`` is there more often in one of the grades."""
+    rng = np.random.default_rng(5)
+    grades = rng.integers(0, 3, n)
+    chance = np.where(np.arange(told) % 3 == np.arange(3)[:, None], 0.2, 0.1)
+    rows = [np.flatnonzero(rng.random(told) < chance[g]).astype(np.int32) for g in grades]
+    return [np.append(r, np.int32(dimensions - 1 - g)) if r.size else r for r, g in zip(rows, grades)], grades
+
+
+def test_fit_in_blocks_is_the_fit_at_once(monkeypatch):
+    """Also where blocks are shorter than a row or a bucket, and where rows are empty or lose all."""
+    rows, grades = many_rows(1200, 40, 256)
+    rows[0], rows[7], rows[-1] = rows[0][:0], np.array([150], np.int32), rows[0][:0]
+    whole = quality.fit_ordinal(rows, grades, 256, 3)
+    flat, row_of = np.concatenate(rows), np.repeat(np.arange(1200), [len(r) for r in rows])
+    point = np.append(np.linspace(-1, 0.5, 256), [-0.5, 0.5])
+    value, slope = quality.Ordinal(flat, row_of, grades, np.ones(1200), 256).at(point)
+    assert np.count_nonzero(whole[0]) > 10
+    for block in (5, 64, 3000):
+        monkeypatch.setattr(quality, "BLOCK", block)
+        part = quality.fit_ordinal(rows, grades, 256, 3)
+        assert (part[0] == whole[0]).all() and (part[1] == whole[1]).all()
+        objective = quality.Ordinal(flat, row_of, grades, np.ones(1200), 256)
+        assert (objective.row_of == row_of[np.argsort(flat, kind="stable")]).all()
+        again = objective.at(point)
+        assert again[0] == value and (again[1] == slope).all()
+
+
+def test_fit_holds_little_beside_its_entries(monkeypatch):
+    """It runs in one task, beside what the worker holds from others."""
+    monkeypatch.setattr(quality, "STEPS", 2)
+    rows, grades = many_rows(4000, 4000, 8192)
+    entries = sum(map(len, rows))
+    tracemalloc.start()
+    weights, _ = quality.fit_ordinal(rows, grades, 8192, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert entries > 2_000_000 and np.count_nonzero(weights) > 1000
+    # Bucket and row, the rows in the order of buckets, and blocks.
+    assert peak < 8 * entries + 16e6, f"{peak / entries:.0f} bytes an entry"
+
+
 def test_classifier_edges(spark):
     edge = brute.edge_frame(spark)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
